@@ -17,14 +17,21 @@ def parse_month(month: Column | str) -> Column:
     return F.try_to_date(month, MONTH_FORMAT)
 
 
+def months_of(window: tuple[str, str]) -> list[str]:
+    """Every ``yyyy-MM`` month from the first to the last of a window."""
+    (first_year, first), (last_year, last) = (map(int, bound.split("-")) for bound in window)
+    numbers = range(first_year * 12 + first - 1, last_year * 12 + last)
+    return [f"{n // 12:04d}-{n % 12 + 1:02d}" for n in numbers]
+
+
 def month_text_in(month: Column | str, window: tuple[str, str]) -> Column:
-    """``first <= month <= last`` on ``yyyy-MM`` text.
+    """Whether ``yyyy-MM`` text is a month of the window.
 
-    For text that ``parse_month`` accepts this equals the date range, and it is a plain comparison
-    that reaches the file scan. Text that is no month may pass; ``parse_month`` nulls it later.
+    The same as parsing it and comparing dates, without the parsing: membership in the list of
+    months, which the file scan narrows to a range.
     """
     column = F.col(month) if isinstance(month, str) else month
-    return column.between(F.lit(window[0]), F.lit(window[1]))
+    return column.isin(months_of(window))
 
 
 def month_in(month: Column | str, window: tuple[str, str]) -> Column:

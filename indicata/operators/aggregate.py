@@ -33,7 +33,7 @@ def indicator_totals(
     rows = filters.within_months(filters.keep(rows, where), window)
     for column, members in (excluded or {}).items():
         rows = filters.without_members(rows, column, members)
-    sums = P.real_months(P.partial_sums(rows, ["REF_DATE", *by.values()], value), window)
+    sums = P.real_months(P.partial_sums(rows, ["REF_DATE", *by.values()], value))
     names = {month_name: F.col("REF_DATE")}
     names.update({name: F.col(f"`{column}`") for name, column in by.items()})
     if window is None:
@@ -62,13 +62,14 @@ def monthly_means(
     """Mean per month of several columns (``{output name: source column}``)."""
     rows = filters.within_months(series.where(F.col(month).isNotNull()), window, month)
     raw = rows.groupBy(month).agg(
+        F.count("*").alias(P.COUNT),
         *[
             measure
             for name, column in columns.items()
             for measure in (F.sum(column).alias(f"{name}_s"), F.count(column).alias(f"{name}_n"))
         ]
     )
-    merged = P.real_months(raw, window, month)
+    merged = P.real_months(raw, month)
     means = [
         F.try_divide(F.sum(f"{name}_s"), F.sum(f"{name}_n")).alias(name) for name in columns
     ]
@@ -90,7 +91,7 @@ def yearly_means(
     """Mean value per calendar year of the month column."""
     rows = filters.require(obs, required, null_rule) if required else obs
     rows = filters.within_months(filters.keep(rows, where), window, month)
-    sums = P.real_months(P.partial_sums(rows, [month], value), window, month)
+    sums = P.real_months(P.partial_sums(rows, [month], value), month)
     mean = P.mean() if digits is None else F.round(P.mean(), digits)
     return P.merge(sums, {year_name: F.year(month)}, **{name: mean})
 

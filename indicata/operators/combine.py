@@ -101,8 +101,8 @@ def relabelled_monthly_means(
     rows = filters.require(obs, required, null_rule) if required else obs
     rows = filters.within_months(filters.keep(rows, where), window)
     sums = P.partial_sums(rows, ["REF_DATE", label], numbers.truncated("VALUE"))
-    sums = P.real_months(sums, window)
-    cleaned = labels.apply_rules(labels.strip_code(F.col(f"`{label}`")), rules)
+    sums = P.real_months(sums)
+    cleaned = P.after_sums(labels.apply_rules(labels.strip_code(F.col(f"`{label}`")), rules))
     return P.merge(sums, {"REF_DATE": F.col("REF_DATE"), label_name: cleaned}, **{name: P.mean()})
 
 

@@ -27,17 +27,21 @@ def partial_sums(df: DataFrame, keys: list[str], value: Column | str = "VALUE")
     )
 
 
-def month_key(partials: DataFrame, month: str = "REF_DATE") -> Column:
-    """The month column as a date, whichever way it is stored."""
-    if partials.schema[month].dataType.typeName() == "string":
-        return dates.parse_month(month)
-    return F.col(month).cast("date")
+def after_sums(key: Column) -> Column:
+    """A cleaned key that is only ever computed on partials.
 
+    The optimizer moves a filter on a grouping key (or the null check of a join on it) below the
+    aggregate, and would clean the key of every row there. A key that also reads the count cannot
+    move below the aggregate that makes the count.
+    """
+    return F.when(F.col(COUNT) >= 0, key)
 
-def real_months(partials: DataFrame, window: tuple[str, str] | None, month: str = "REF_DATE") -> DataFrame:
-    """Turn the month into a date and, under a window, drop text that only looked like a month."""
-    dated = partials.withColumn(month, month_key(partials, month))
-    return dated if window is None else dated.where(dates.month_in(month, window))
+
+def real_months(partials: DataFrame, month: str = "REF_DATE") -> DataFrame:
+    """Turn the month text of partials into a date; text that is no month becomes null."""
+    if partials.schema[month].dataType.typeName() != "string":
+        return partials
+    return partials.withColumn(month, after_sums(dates.parse_month(month)))
 
 
 def total() -> Column:

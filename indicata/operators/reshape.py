@@ -80,7 +80,7 @@ def pivot_indicator(
     """
     rows = filters.require(obs, required, null_rule) if required else obs
     rows = filters.within_months(filters.keep(rows, where), window, month)
-    sums = P.real_months(P.partial_sums(rows, [month, column], value), window, month)
+    sums = P.real_months(P.partial_sums(rows, [month, column], value), month)
     if values is None:
         sums = checkpointed(sums)
         values = pivot_domain(sums, column)
@@ -119,12 +119,18 @@ def label_pivot(
     prefix: str = "",
     suffix: str = "",
     values: Sequence[str] | None = None,
+    month: bool = False,
 ) -> DataFrame:
     """One column per label, named ``prefix + label + suffix``; the largest value of a cell.
 
-    Cells are reduced before labels are discovered, so discovery reads the reduced frame.
+    Cells are reduced before labels are discovered, so discovery reads the reduced frame. With
+    ``month`` the key may be month text and becomes a date.
     """
-    reduced = cells.groupBy(_quoted(key), _quoted(label)).agg(F.max(_quoted(value)).alias(value))
+    reduced = cells.groupBy(_quoted(key), _quoted(label)).agg(
+        F.max(_quoted(value)).alias(value), F.count("*").alias(P.COUNT)
+    )
+    if month:
+        reduced = P.real_months(reduced, key)
     if values is None:
         reduced = checkpointed(reduced)
         values = pivot_domain(reduced, label)

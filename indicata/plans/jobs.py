@@ -24,9 +24,18 @@ _PRESENT = ["REF_DATE", "GEO", "VALUE"]
 # --- ingest ------------------------------------------------------------------------------------
 
 
-def cleansed(raw: DataFrame, prefixes: tuple[str, ...] = V.CLEANSE_PREFIXES) -> DataFrame:
-    """The rows of the kept decades."""
-    return filters.with_prefix(raw, "REF_DATE", prefixes)
+def cleansed(
+    raw: DataFrame, prefixes: tuple[str, ...] = V.CLEANSE_PREFIXES, month_dates: bool = False
+) -> DataFrame:
+    """The rows of the kept decades.
+
+    ``month_dates`` stores month text as dates, parsed here once and for all: every job takes either
+    kind, and on a column of dates its window reaches the file scan as a range.
+    """
+    kept = filters.with_prefix(raw, "REF_DATE", prefixes)
+    if month_dates and raw.schema["REF_DATE"].dataType.typeName() == "string":
+        kept = kept.withColumn("REF_DATE", dates.parse_month("REF_DATE"))
+    return kept
 
 
 # --- cases -------------------------------------------------------------------------------------
@@ -111,27 +120,31 @@ def case_trend(cases: DataFrame) -> DataFrame:
 # --- output and trade --------------------------------------------------------------------------
 
 
-def gdp_output(gdp: DataFrame, where: Mapping[str, object] | Column = ANNUAL_RATES) -> DataFrame:
+def gdp_output(
+    gdp: DataFrame,
+    where: Mapping[str, object] | Column = ANNUAL_RATES,
+    window: tuple[str, str] = V.DECADE,
+) -> DataFrame:
     """Monthly GDP per industry."""
     return A.indicator_totals(
         gdp,
         by={"NAICS": V.NAICS},
         total_name="Total GDP Value",
         where=where,
-        window=V.DECADE,
+        window=window,
         excluded={V.NAICS: V.CANNABIS_INDUSTRIES},
         above=100,
     )
 
 
-def trade_output(trade: DataFrame) -> DataFrame:
+def trade_output(trade: DataFrame, window: tuple[str, str] = V.DECADE) -> DataFrame:
     """Monthly merchandise trade per product, direction and basis."""
     return A.indicator_totals(
         trade,
         by={"NAPCS": V.NAPCS, "Trade": "Trade", "Basis": "Basis"},
         total_name="Total Merch Trade Value",
         where={"Seasonal adjustment": "Seasonally adjusted"},
-        window=V.DECADE,
+        window=window,
         above=100,
         month_name="YEAR",
     )
@@ -171,13 +184,14 @@ def retail_by_industry(
     retail: DataFrame,
     values: Sequence[str] | None = None,
     dropped: Sequence[str] = V.EMPTY_RETAIL_INDUSTRIES,
+    window: tuple[str, str] = V.DECADE,
 ) -> DataFrame:
     """Mean monthly national retail sales with a column per industry."""
     return R.pivot_indicator(
         retail,
         V.NAICS,
         where={"Adjustments": "Seasonally adjusted", "GEO": "Canada"},
-        window=V.DECADE,
+        window=window,
         required=_PRESENT,
         values=values,
         dropped=dropped,
@@ -393,8 +407,9 @@ def health_cpi(cpi: DataFrame, values: Sequence[str] | None = None) -> DataFrame
         ),
         V.PANDEMIC_MONTHS,
     )
-    wide = R.label_pivot(rows, "REF_DATE", "Products and product groups", "VALUE", "CPI of ", "", values)
-    return wide.withColumn("REF_DATE", dates.parse_month("REF_DATE")).where("REF_DATE IS NOT NULL")
+    return R.label_pivot(
+        rows, "REF_DATE", "Products and product groups", "VALUE", "CPI of ", "", values, month=True
+    )
 
 
 def health_retail(by_industry: DataFrame) -> DataFrame:
@@ -414,15 +429,16 @@ def health_trade(trade_totals: DataFrame) -> DataFrame:
         & (F.col("Basis") == "Balance of payments")
         & (F.col("NAPCS") == V.PHARMA_PRODUCTS)
     )
-    name = "Int. Merchandise Trade for Pharma&Medical products -{}s x10^6 (in CAD)"
-    directions = [
-        rows.where(F.col("Trade") == direction).select(
-            F.col("YEAR").alias("REF_DATE"),
-            F.col("Total Merch Trade Value").alias(name.format(direction)),
-        )
+    names = {
+        direction: f"Int. Merchandise Trade for Pharma&Medical products -{direction}s x10^6 (in CAD)"
         for direction in ("Import", "Export")
+    }
+    sides = [
+        F.max(F.when(F.col("Trade") == direction, F.col("Total Merch Trade Value"))).alias(name)
+        for direction, name in names.items()
     ]
-    return C.join_panel(directions, "REF_DATE")
+    months = rows.groupBy(F.col("YEAR").alias("REF_DATE")).agg(*sides)
+    return filters.require(months, list(names.values()), "any")
 
 
 def healthcare_analysis(

@@ -67,7 +67,7 @@ VIEWS = {
         floor(o_totalprice / 1000) - 50 AS value FROM orders""",
     "tsx_totals": """SELECT CAST(ref_date || '-01' AS DATE) AS month, statistic, sum(value) AS total
         FROM tsx WHERE uom = 'Index' AND value > 0 GROUP BY ALL""",
-    "leading": f"""SELECT {_month('o_orderdate', S.BASE_YEAR_SHIFT)} AS ref_date,
+    "leads": f"""SELECT {_month('o_orderdate', S.BASE_YEAR_SHIFT)} AS ref_date,
         {_priority(S.LEADING_INDICATORS)} AS indicator,
         CASE o_orderstatus WHEN 'O' THEN 'Unsmoothed' ELSE 'Smoothed' END AS composite,
         floor(o_totalprice / 1000) - 100 AS value FROM orders""",
@@ -178,7 +178,7 @@ VIEWS["trend"] = _TREND
 
 _CANNABIS = ", ".join(f"'{name}'" for name in V.CANNABIS_INDUSTRIES)
 _DECADE = "ref_date BETWEEN '2010-01' AND '2020-10'"
-VIEWS["gdp_totals"] = f"""SELECT CAST(ref_date || '-01' AS DATE) AS ref_date, naics, sum(value) AS total_gdp_value
+VIEWS["gdp_totals"] = f"""SELECT CAST(ref_date || '-01' AS DATE) AS ref_date, naics, CAST(sum(value) AS BIGINT) AS total_gdp_value
     FROM gdp WHERE value IS NOT NULL AND adj = 'Seasonally adjusted at annual rates' AND {_DECADE}
     AND naics NOT IN ({_CANNABIS}) GROUP BY ALL HAVING sum(value) > 100"""
 VIEWS["trade_totals"] = f"""SELECT CAST(ref_date || '-01' AS DATE) AS year, napcs, trade, basis,
@@ -232,7 +232,7 @@ VIEWS["hours_monthly"] = f"""SELECT CAST(ref_date || '-01' AS DATE) AS ref_date,
 VIEWS["productivity"] = """SELECT ref_date, naics, gdp_value, hours_worked,
     gdp_value / nullif(hours_worked, 0) * 1000 AS labour_productivity
     FROM gdp_monthly JOIN hours_monthly USING (ref_date, naics)"""
-VIEWS["productivity_by_year"] = """SELECT year(ref_date) AS year, naics, avg(hours_worked) AS hours_worked,
+VIEWS["productivity_by_year"] = """SELECT CAST(year(ref_date) AS INT) AS year, naics, avg(hours_worked) AS hours_worked,
     avg(gdp_value) AS gdp_value, avg(labour_productivity) AS labour_productivity FROM productivity GROUP BY ALL"""
 VIEWS["spending_yearly"] = f"""SELECT CAST(substr(ref_date, 1, 4) AS INT) AS year, avg(value) AS household_expenditure
     FROM spending WHERE {_DECADE} AND adj = 'Seasonally adjusted at quarterly rates'
@@ -288,7 +288,7 @@ VIEWS["series"] = f"""SELECT {_COUNTRY}[c_nationkey + 1] AS series,
 def _country(name: str) -> str:
     first, last, divisor = V.COUNTRY_SERIES[name]
     return (
-        f"(SELECT year(date) AS date, value / {divisor} AS v FROM series WHERE series = '{name}' "
+        f"(SELECT CAST(year(date) AS INT) AS date, value / {divisor} AS v FROM series WHERE series = '{name}' "
         f"AND date BETWEEN DATE '{first}' AND DATE '{last}') {name.lower()}"
     )
 
@@ -359,10 +359,10 @@ _SELECTS = {
         total AS total_stock_value FROM tsx_totals WHERE total > 100""",
     "select_member": f"""SELECT month AS ref_date, total AS total_tsx_60_value FROM tsx_totals
         WHERE statistic = '{V.TSX_60.replace("'", "''")}'""",
-    "yearly_mean_of_totals": """SELECT year(month) AS ref_date, avg(total) AS avg_yearly_tsx_stock FROM tsx_totals
+    "yearly_mean_of_totals": """SELECT CAST(year(month) AS INT) AS ref_date, avg(total) AS avg_yearly_tsx_stock FROM tsx_totals
         WHERE total > 100 GROUP BY 1""",
     "indicator_window_filtered": """SELECT CAST(ref_date || '-01' AS DATE) AS year, indicator AS leading_indicators,
-        sum(value) AS business_profit_factor FROM leading WHERE value > 0 AND composite = 'Smoothed'
+        sum(value) AS business_profit_factor FROM leads WHERE value > 0 AND composite = 'Smoothed'
         AND ref_date BETWEEN '2010-01' AND '2010-12' GROUP BY ALL""",
     "joint_monthly_means": "SELECT * FROM joint",
     "pivot_region_monthly": f"""SELECT CAST(ref_date || '-01' AS DATE) AS ref_date, {_pivot('geo', _PROVINCES)}
@@ -395,7 +395,7 @@ _SELECTS = {
     "relabel_rules_legacy": f"SELECT {_GDP_NAME_LEGACY} AS naics, CAST(sum(value) AS BIGINT) AS total FROM gdp GROUP BY 1",
     "productivity_yearly": """SELECT year, naics, round(hours_worked, 6) AS hours_worked, round(gdp_value, 6) AS gdp_value,
         round(labour_productivity, 6) AS labour_productivity FROM productivity_by_year""",
-    "productivity_pivot": "SELECT year(ref_date) AS year, "
+    "productivity_pivot": "SELECT CAST(year(ref_date) AS INT) AS year, "
     + ", ".join(
         f"round(avg(labour_productivity) FILTER (WHERE naics = '{label}'), 6) AS {name}"
         for label, name in _RENAMED_PRODUCTIVITY.items()

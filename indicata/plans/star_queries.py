@@ -175,19 +175,19 @@ def transpose_panel(spark: SparkSession, folder: str) -> DataFrame:
 
 def strip_code(spark: SparkSession, folder: str) -> DataFrame:
     sums = P.partial_sums(S.gdp(spark, folder), [V.NAICS])
-    return P.merge(sums, {"naics": labels.strip_code(F.col(f"`{V.NAICS}`"))}, total=P.total())
+    return P.merge(sums, {"naics": P.after_sums(labels.strip_code(F.col(f"`{V.NAICS}`")))}, total=P.total())
 
 
 def relabel_rules(spark: SparkSession, folder: str) -> DataFrame:
     sums = P.partial_sums(S.gdp(spark, folder), [V.NAICS])
-    cleaned = labels.apply_rules(labels.strip_code(F.col(f"`{V.NAICS}`")), V.GDP_RELABEL)
+    cleaned = P.after_sums(labels.apply_rules(labels.strip_code(F.col(f"`{V.NAICS}`")), V.GDP_RELABEL))
     return P.merge(sums, {"naics": cleaned}, total=P.total(), average=F.round(P.mean(), 6))
 
 
 def relabel_rules_legacy(spark: SparkSession, folder: str) -> DataFrame:
     sums = P.partial_sums(S.gdp(spark, folder), [V.NAICS])
     rules = (V.GDP_RELABEL_LEGACY_FIRST, *V.GDP_RELABEL[1:])
-    cleaned = labels.apply_rules(labels.strip_code(F.col(f"`{V.NAICS}`")), rules)
+    cleaned = P.after_sums(labels.apply_rules(labels.strip_code(F.col(f"`{V.NAICS}`")), rules))
     return P.merge(sums, {"naics": cleaned}, total=P.total())
 
 
@@ -225,7 +225,7 @@ def yearly_means_filtered(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def label_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    return _snake(jobs.health_gdp(jobs.gdp_output(S.gdp(spark, folder))))
+    return _snake(jobs.health_gdp(jobs.gdp_output(S.gdp(spark, folder), window=HEALTH_MONTHS)))
 
 
 def label_pivot_prices(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,6 +236,7 @@ CARE_INDUSTRIES = (
     "Ambulatory health care services [621]",
     "Health care and social assistance [62]",
 )
+HEALTH_MONTHS = (V.PANDEMIC_MONTHS[0], V.DECADE[1])
 HEALTH_GROUPS = (
     "Medicinal and pharmaceutical products",
     "Personal care and health supplies",
@@ -246,10 +247,10 @@ HEALTH_GROUPS = (
 def merge_monthly_outer(spark: SparkSession, folder: str) -> DataFrame:
     merged = jobs.healthcare_analysis(
         jobs.covid_cases(S.cases_eav(spark, folder)),
-        jobs.gdp_output(S.gdp(spark, folder)),
+        jobs.gdp_output(S.gdp(spark, folder), window=HEALTH_MONTHS),
         S.cpi(spark, folder),
-        jobs.retail_by_industry(S.retail(spark, folder), S.RETAIL_INDUSTRIES),
-        jobs.trade_output(S.trade(spark, folder)),
+        jobs.retail_by_industry(S.retail(spark, folder), S.RETAIL_INDUSTRIES, window=HEALTH_MONTHS),
+        jobs.trade_output(S.trade(spark, folder), window=HEALTH_MONTHS),
         CARE_INDUSTRIES,
         HEALTH_GROUPS,
     )

@@ -153,8 +153,31 @@ BASE_YEAR_SHIFT = 15
 SERIES_SHIFT = 2
 
 
+# --- Fixed values: the star schema's columns ----------------------------------------------------
+
+STAR_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One table; its schema is known, so no file is opened before the query runs."""
+    return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _pick(labels: list[str], position: Column) -> Column:
@@ -176,8 +199,11 @@ def _priority(labels: list[str]) -> Column:
 
 def _month(date: str, shift: int = MONTH_SHIFT) -> Column:
     day = F.col(date).cast("date")
-    return F.concat_ws(
-        "-", (F.year(day) + shift).cast("string"), F.lpad(F.month(day).cast("string"), 2, "0")
+    month = F.month(day)
+    return F.concat(
+        (F.year(day) + shift).cast("string"),
+        F.when(month < 10, "-0").otherwise("-"),
+        month.cast("string"),
     )
 
 

@@ -15,6 +15,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def has_suffix(spark: SparkSession, path: str, suffix: str) -> bool:
+    """Whether the folder ``path`` directly holds a file whose name ends in ``suffix``."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path, f"*{suffix}")
+    found = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jvm_path)
+    return found is not None and len(found) > 0
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],

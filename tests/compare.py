@@ -48,3 +48,23 @@ def difference(names, rows, other_names, other_rows) -> str | None:
         if mine != other:
             return f"{mine} != {other}"
     return None
+
+
+_SAME = {
+    "tinyint": "TINYINT",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_difference(dtypes: list[tuple[str, str]], folder: str, sql: str) -> dict:
+    connection = duckdb.connect()
+    for path in glob.glob(f"{folder}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    theirs = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (t, theirs.get(c)) for c, t in dtypes if _SAME.get(t, t) != theirs.get(c)}
