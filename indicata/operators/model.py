@@ -35,7 +35,7 @@ class MinMax:
                 )
             ]
         ).first()
-        if row is None or None in row:
+        if any(bound is None for bound in row):
             raise ValueError("a column to scale has no values")
         return cls({name: (row[f"lo{i}"], row[f"hi{i}"]) for i, name in enumerate(columns)})
 
@@ -96,15 +96,22 @@ def _prediction(model: LinearRegressionModel, features: Sequence[str]) -> Column
 
 
 def _estimator(label: str) -> LinearRegression:
+    """The solver that reads the rows once and iterates on their moments."""
     return LinearRegression(
-        featuresCol="_features", labelCol=label, standardization=False, tol=1e-10, maxIter=1000
+        featuresCol="_features",
+        labelCol=label,
+        solver="normal",
+        standardization=False,
+        tol=1e-12,
+        maxIter=10_000,
     )
 
 
 def _penalty(estimator: LinearRegression, alpha: float, l1_ratio: float, label_std: float) -> dict:
     """Spark's parameters for ``alpha * (l1_ratio |w|_1 + (1 - l1_ratio) / 2 |w|_2^2)``.
 
-    Spark fits on a label divided by its standard deviation, which scales the squared term.
+    Spark fits on a label divided by its population standard deviation, which scales the squared
+    term.
     """
     l1 = alpha * l1_ratio
     total = l1 + alpha * (1 - l1_ratio) * label_std
@@ -154,8 +161,8 @@ def fit_elastic_net(
     try:
         estimator = _estimator(label)
         spreads = rows.agg(
-            F.stddev_samp(label).alias("all"),
-            *[F.stddev_samp(F.when(F.col("_fold") != k, F.col(label))).alias(str(k)) for k in range(folds)],
+            F.stddev_pop(label).alias("all"),
+            *[F.stddev_pop(F.when(F.col("_fold") != k, F.col(label))).alias(str(k)) for k in range(folds)],
         ).first()
 
         def fold_errors(k: int) -> list[float]:
