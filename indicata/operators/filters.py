@@ -15,9 +15,15 @@ from indicata.functions import dates
 def require(df: DataFrame, columns: list[str], rule: str = "all") -> DataFrame:
     """Drop rows by nulls in ``columns``.
 
-    ``rule="any"`` drops a row when any of them is null, ``rule="all"`` only when all are.
+    ``rule="any"`` drops a row when any of them is null, ``rule="all"`` only when all are. A summary
+    has no value column; its row has a value when it counts one.
     """
-    present = [F.col(f"`{name}`").isNotNull() for name in columns]
+    present = [
+        F.col("_count") > 0
+        if name == "VALUE" and "_sum" in df.columns
+        else F.col(f"`{name}`").isNotNull()
+        for name in columns
+    ]
     return df.where(reduce(and_ if rule == "any" else or_, present))
 
 

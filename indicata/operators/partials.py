@@ -20,10 +20,29 @@ from indicata.functions import dates
 SUM, COUNT = "_sum", "_count"
 
 
+def summary(obs: DataFrame, columns: list[str], value: str = "VALUE") -> DataFrame:
+    """One row per distinct ``columns`` that stands for all its rows in every total and mean.
+
+    A job takes a summary in place of the observations when it filters and groups by ``columns``
+    only. Several jobs over one table then share one scan of it. The value must be whole numbers, as
+    jobs that truncate values could not truncate those already summed.
+    """
+    kind = obs.schema[value].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"only whole values can be summarised, {value} is {kind}")
+    return obs.groupBy(*[F.col(f"`{column}`") for column in columns]).agg(
+        F.sum(value).alias(SUM), F.count(value).alias(COUNT)
+    )
+
+
 def partial_sums(df: DataFrame, keys: list[str], value: Column | str = "VALUE") -> DataFrame:
     """One row per distinct ``keys`` with the sum and the non-null count of ``value``."""
+    if SUM in df.columns:
+        sums = (F.sum(SUM), F.sum(COUNT))
+    else:
+        sums = (F.sum(value), F.count(value))
     return df.groupBy(*[F.col(f"`{key}`") for key in keys]).agg(
-        F.sum(value).alias(SUM), F.count(value).alias(COUNT)
+        sums[0].alias(SUM), sums[1].alias(COUNT)
     )
 
 

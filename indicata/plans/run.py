@@ -4,8 +4,9 @@
 
 Input folder: ``<table id>/`` per observation table (Parquet if it holds Parquet, else CSV), and
 ``stock.csv``, ``countries/*.csv``, ``macro.csv``, ``development.csv``. Every result is stored as
-Parquet under ``<output>/tables/<name>``; a job that builds on another reads that, so each table is
-computed once and a lost executor costs no more than the job it was running. ``--csv`` also exports
+Parquet under ``<output>/tables/<name>``; a job that builds on another reads that, so each result is
+computed once and a lost executor costs no more than the job it was running. A table that several jobs
+total or average is scanned once, into a summary under ``<output>/summaries``. ``--csv`` also exports
 each result as CSV under ``<output>/csv/<name>``.
 """
 
@@ -18,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from indicata.functions import fixed_values as V
+from indicata.operators.partials import summary
 from indicata.plans import jobs
 from indicata.session import spark_session
 from indicata.sources import schemas, tables
@@ -74,6 +76,13 @@ JOBS = (
 )
 
 
+# observation tables several jobs total or average, and the columns those jobs look at
+SUMMARISED = {
+    "gdp": ["REF_DATE", "GEO", "Seasonal adjustment", "Prices", V.NAICS],
+    "retail": ["REF_DATE", "GEO", V.NAICS, "Adjustments"],
+}
+
+
 def read_input(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One input by its subject or file name."""
     if name == "stock":
@@ -127,11 +136,21 @@ def run(
         elif name not in by_name and names is not None and name in names:
             raise KeyError(name)
 
+    def summarised(name: str) -> DataFrame:
+        path = f"{output}/summaries/{name}"
+        if name not in summaries:
+            summaries.add(name)
+            tables.write_table(summary(read_input(spark, folder, name), SUMMARISED[name]), path)
+        return spark.read.parquet(path)
+
     def table(name: str) -> DataFrame:
         if name in by_name:
             return spark.read.parquet(f"{output}/tables/{name}")
+        if name in SUMMARISED and sum(name in by_name[job].inputs for job in wanted) > 1:
+            return summarised(name)
         return read_input(spark, folder, name)
 
+    summaries: set[str] = set()
     done = []
     for job in JOBS:
         if job.name not in wanted:

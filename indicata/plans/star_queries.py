@@ -14,6 +14,7 @@ from indicata.operators import filters, model
 from indicata.operators import partials as P
 from indicata.operators import reshape as R
 from indicata.plans import jobs
+from indicata.session import checkpointed
 from indicata.sources import star_views as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -270,13 +271,13 @@ def series_panel(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, folder: str, feature_type: str) -> DataFrame:
-    monthly = jobs.monthly_productivity(S.gdp(spark, folder), S.hours(spark, folder))
+    # two of the inputs come from the GDP table, which is scanned once for both
+    gdp = checkpointed(P.summary(S.gdp(spark, folder), ["REF_DATE", "GEO", "Seasonal adjustment", V.NAICS]))
+    monthly = jobs.monthly_productivity(gdp, S.hours(spark, folder))
     return jobs.prediction_input(
         jobs.hours_worked_output(monthly),
         jobs.cpi_output(S.cpi(spark, folder), ("Canada",)),
-        jobs.gdp_trade_output(
-            jobs.gdp_output(S.gdp(spark, folder)), jobs.trade_output(S.trade(spark, folder))
-        ),
+        jobs.gdp_trade_output(jobs.gdp_output(gdp), jobs.trade_output(S.trade(spark, folder))),
         jobs.household_consumption_output(S.spending(spark, folder)),
         feature_type,
     )
@@ -308,7 +309,7 @@ def _panel(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def minmax_scale(spark: SparkSession, folder: str) -> DataFrame:
-    panel = _panel(spark, folder)
+    panel = checkpointed(_panel(spark, folder))
     columns = list(PANEL_FEATURES)
     scaled = model.MinMax.fit(panel, columns).transform(panel)
     return _rounded(_snake(scaled), 9, *[c.lower() for c in columns])

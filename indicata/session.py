@@ -27,12 +27,16 @@ def spark_session(app: str = "indicata", master: str | None = None, **settings:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a session that names
-    none (a bare local run) gets a folder of its own.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session that
+    names none gets a folder of its own.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        context = spark.sparkContext
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="indicata-checkpoint-"))
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+            folder = tempfile.mkdtemp(prefix="indicata-checkpoint-")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

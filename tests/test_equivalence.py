@@ -3,6 +3,7 @@
 import random
 from functools import reduce
 
+import pytest
 from pyspark.sql import functions as F
 
 from indicata.functions import dates, labels
@@ -236,3 +237,33 @@ def test_merged_partials_mean(spark):
     sums = P.partial_sums(df, ["l"])
     merged = P.merge(sums, {"l": P.after_sums(labels.strip_code("l"))}, m=P.mean(), t=P.total())
     assert rows_of(merged) == [("a", 2.5, 5), ("b", None, None)]
+
+
+def test_jobs_on_a_summary_equal_jobs_on_the_rows(spark):
+    rand = random.Random(6)
+    names = ["Retail trade [44-45]", "Wholesale trade [41]", "Cannabis production [111C]", None]
+    adjustments = ["Seasonally adjusted at annual rates", "Trading-day adjusted"]
+    gdp = spark.createDataFrame(
+        [
+            (
+                rand.choice(["2010-01", "2011-05", "2009-01", None]),
+                rand.choice([None, "Canada"]),
+                rand.choice(adjustments),
+                rand.choice(names),
+                rand.choice([None, rand.randint(1, 200)]),
+            )
+            for _ in range(300)
+        ],
+        f"REF_DATE string, GEO string, `Seasonal adjustment` string, `{V.NAICS}` string, VALUE int",
+    )
+    hours = spark.createDataFrame(
+        [(month, "Canada", "Wholesale and retail trade [41]", "Estimate", 50.5) for month in ("2010-01", "2011-05")],
+        f"REF_DATE string, GEO string, `{V.NAICS}` string, Statistics string, VALUE double",
+    )
+    short = P.summary(gdp, ["REF_DATE", "GEO", "Seasonal adjustment", V.NAICS])
+    assert rows_of(jobs.gdp_output(short)) == rows_of(jobs.gdp_output(gdp))
+    by_rows, by_sums = jobs.monthly_productivity(gdp, hours), jobs.monthly_productivity(short, hours)
+    assert rows_of(by_rows) == rows_of(by_sums)
+    assert rows_of(by_rows)
+    with pytest.raises(TypeError):
+        P.summary(hours, ["REF_DATE"])
