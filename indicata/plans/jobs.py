@@ -268,16 +268,22 @@ def cpi_output(cpi: DataFrame, values: Sequence[str] | None = None) -> DataFrame
 # --- productivity ------------------------------------------------------------------------------
 
 
-def monthly_productivity(gdp: DataFrame, hours: DataFrame, legacy_rules: bool = False) -> DataFrame:
+def monthly_productivity(
+    gdp: DataFrame,
+    hours: DataFrame,
+    legacy_rules: bool = False,
+    gdp_where: Mapping[str, object] | Column | None = None,
+) -> DataFrame:
     """GDP, hours and GDP per hour, by month and industry.
 
     ``legacy_rules`` keeps the published pattern under which wholesale trade finds no hours.
+    ``gdp_where`` narrows the GDP rows further, to one price basis for example.
     """
     rules = V.GDP_RELABEL
     if legacy_rules:
         rules = (V.GDP_RELABEL_LEGACY_FIRST, *rules[1:])
     output = C.relabelled_monthly_means(
-        gdp,
+        filters.keep(gdp, gdp_where),
         V.NAICS,
         rules,
         "GDP_VALUE",
@@ -361,11 +367,13 @@ def leading_indicator_output(leading: DataFrame) -> DataFrame:
 # --- retail against its GDP ---------------------------------------------------------------------
 
 
-def retail_trade_output(gdp: DataFrame, retail: DataFrame) -> DataFrame:
+def retail_trade_output(
+    gdp: DataFrame, retail: DataFrame, gdp_where: Mapping[str, object] | Column | None = None
+) -> DataFrame:
     """Yearly retail GDP beside yearly retail sales."""
     industry = F.col(f"`{V.NAICS}`")
     output = A.yearly_means(
-        gdp,
+        filters.keep(gdp, gdp_where),
         "RETAIL_GDP*(10^3)",
         value=numbers.truncated("VALUE"),
         where=filters.matching(ANNUAL_RATES) & industry.contains("Retail trade") & ~industry.contains("("),

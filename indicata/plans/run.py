@@ -23,6 +23,8 @@ from indicata.operators.partials import summary
 from indicata.plans import jobs
 from indicata.session import spark_session
 from indicata.sources import schemas, tables
+from indicata.sources.archive import extract_archives
+from indicata.sources.manifest import read_manifest, run_manifest
 
 
 @dataclass(frozen=True)
@@ -117,6 +119,30 @@ def cleanse_table(
     )
 
 
+def ingest(
+    spark: SparkSession,
+    manifest_path: str,
+    raw: str,
+    output: str,
+    archives: str | None = None,
+    month_dates: bool = True,
+) -> DataFrame:
+    """Cleanse every table a manifest lists; return ``table_id``, ``status``.
+
+    Raw tables are ``raw/<table id>.csv``. With ``archives``, the zip files of that folder are first
+    unpacked under ``raw`` and read from there. Tables already under ``output`` are skipped.
+    """
+    location = f"{raw}/{{}}.csv"
+    if archives is not None:
+        extract_archives(spark, archives, raw)
+        location = f"{raw}/member={{}}"
+    return run_manifest(
+        read_manifest(spark, manifest_path),
+        lambda identifier: cleanse_table(spark, location.format(identifier), output, identifier, month_dates),
+        lambda identifier: f"{output}/{identifier}",
+    )
+
+
 def run(
     spark: SparkSession,
     folder: str,

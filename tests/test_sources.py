@@ -276,3 +276,25 @@ def test_selected_jobs_bring_their_inputs(spark, folder, inputs):
     assert [r["job"] for r in status.collect()] == ["tsx_totals", "TSX_output", "TSX-yearly"]
     with pytest.raises(KeyError):
         run.run(spark, inputs, f"{folder}/o", ["no such job"])
+
+
+def test_ingest_from_archives(spark, folder, inputs):
+    os.makedirs(f"{folder}/zips")
+    for identifier in ("36100434", "10100125"):
+        with zipfile.ZipFile(f"{folder}/zips/{identifier}.zip", "w", zipfile.ZIP_DEFLATED) as out:
+            out.write(f"{inputs}/{identifier}/part.csv", f"{identifier}.csv")
+    listed = write(f"{folder}/list.txt", "GDP :36100434\nTSX :10100125\nLost :33100111\n")
+    options = (spark, listed, f"{folder}/raw", f"{folder}/clean", f"{folder}/zips")
+    status = dict(tuple(r) for r in run.ingest(*options).collect())
+    assert status["36100434"] == status["10100125"] == "Successful"
+    assert "AnalysisException" in status["33100111"]
+    again = dict(tuple(r) for r in run.ingest(*options).collect())
+    assert again["36100434"] == again["10100125"] == "Skipped"
+    clean = jobs.gdp_output(run.read_input(spark, f"{folder}/clean", "gdp"))
+    assert clean.count() == jobs.gdp_output(run.read_input(spark, inputs, "gdp")).count() > 0
+
+
+def test_gdp_can_be_narrowed_to_one_price_basis(spark, inputs):
+    gdp, hours, retail = (run.read_input(spark, inputs, name) for name in ("gdp", "hours", "retail"))
+    assert jobs.monthly_productivity(gdp, hours, gdp_where={"Prices": "other"}).count() == 0
+    assert jobs.retail_trade_output(gdp, retail, {"Prices": "p"}).count() == 11
