@@ -29,8 +29,7 @@ def indicator_totals(
 
     ``excluded`` drops members of source columns, ``above`` keeps only totals over a bound.
     """
-    rows = filters.require(obs, ["REF_DATE", value], null_rule)
-    rows = filters.within_months(filters.keep(rows, where), window)
+    rows = filters.observed(obs, where, window, ["REF_DATE", value], null_rule)
     for column, members in (excluded or {}).items():
         rows = filters.without_members(rows, column, members)
     sums = P.real_months(P.partial_sums(rows, ["REF_DATE", *by.values()], value))
@@ -89,8 +88,7 @@ def yearly_means(
     year_name: str = "YEAR",
 ) -> DataFrame:
     """Mean value per calendar year of the month column."""
-    rows = filters.require(obs, required, null_rule) if required else obs
-    rows = filters.within_months(filters.keep(rows, where), window, month)
+    rows = filters.observed(obs, where, window, required, null_rule, month)
     sums = P.real_months(P.partial_sums(rows, [month], value), month)
     mean = P.mean() if digits is None else F.round(P.mean(), digits)
     return P.merge(sums, {year_name: F.year(month)}, **{name: mean})

@@ -54,10 +54,13 @@ def series_panel(
     once per series. A year counts as present by its row, whatever its value; two rows for one
     series and year fail the query.
     """
+    members: dict[tuple[str, str], list[str]] = {}
+    for member, (first, last, _) in series.items():
+        members.setdefault((first, last), []).append(member)
     bounds = [
-        (F.col(name) == F.lit(member))
+        F.col(name).isin(names)
         & F.col(date).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-        for member, (first, last, _) in series.items()
+        for (first, last), names in members.items()
     ]
     measures = []
     for member, (_, _, divisor) in series.items():
@@ -98,8 +101,7 @@ def relabelled_monthly_means(
     A label is cleaned by dropping its code and applying ``rules``, once per distinct label and month
     and not once per row.
     """
-    rows = filters.require(obs, required, null_rule) if required else obs
-    rows = filters.within_months(filters.keep(rows, where), window)
+    rows = filters.observed(obs, where, window, required, null_rule)
     sums = P.partial_sums(rows, ["REF_DATE", label], numbers.truncated("VALUE"))
     sums = P.real_months(sums)
     cleaned = P.after_sums(labels.apply_rules(labels.strip_code(F.col(f"`{label}`")), rules))

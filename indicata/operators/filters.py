@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.functions import dates
+from indicata.operators import partials as P
 
 
 def require(df: DataFrame, columns: list[str], rule: str = "all") -> DataFrame:
@@ -19,8 +20,8 @@ def require(df: DataFrame, columns: list[str], rule: str = "all") -> DataFrame:
     has no value column; its row has a value when it counts one.
     """
     present = [
-        F.col("_count") > 0
-        if name == "VALUE" and "_sum" in df.columns
+        F.col(P.COUNT) > 0
+        if name == "VALUE" and P.SUM in df.columns
         else F.col(f"`{name}`").isNotNull()
         for name in columns
     ]
@@ -54,6 +55,24 @@ def within_months(df: DataFrame, window: tuple[str, str] | None, month: str = "R
     return df.where(dates.month_in(month, window))
 
 
+def observed(
+    obs: DataFrame,
+    where: Mapping[str, object] | Column | None = None,
+    window: tuple[str, str] | None = None,
+    required: list[str] | None = None,
+    null_rule: str = "all",
+    month: str = "REF_DATE",
+) -> DataFrame:
+    """The rows a job looks at: present, matching and within its window.
+
+    A row inside a window has a month, so a rule that only drops rows without month, place and value
+    has nothing left to drop there and is not evaluated.
+    """
+    implied = window is not None and null_rule == "all" and month in (required or [])
+    rows = require(obs, required, null_rule) if required and not implied else obs
+    return within_months(keep(rows, where), window, month)
+
+
 def with_prefix(df: DataFrame, column: str, prefixes: tuple[str, ...]) -> DataFrame:
     """Keep rows whose ``column``, as text, starts with one of ``prefixes``."""
     text = F.col(column)

@@ -78,8 +78,7 @@ def pivot_indicator(
     Members not given as ``values`` are discovered. Discovery reads the per-cell sums, computed once
     and checkpointed, and not the observations a second time.
     """
-    rows = filters.require(obs, required, null_rule) if required else obs
-    rows = filters.within_months(filters.keep(rows, where), window, month)
+    rows = filters.observed(obs, where, window, required, null_rule, month)
     sums = P.real_months(P.partial_sums(rows, [month, column], value), month)
     if values is None:
         sums = checkpointed(sums)

@@ -295,7 +295,7 @@ def prediction_features_double(spark: SparkSession, folder: str) -> DataFrame:
 
 def _panel(spark: SparkSession, folder: str) -> DataFrame:
     """Yearly features per industry, a panel of several rows per year."""
-    lines = S._labelled_lines(spark, folder, F.col("p_brand"))
+    lines = S.labelled_lines(spark, folder, F.col("p_brand"))
     return (
         lines.groupBy(F.year(F.col("l_shipdate").cast("date")).alias("YEAR"), "label")
         .agg(

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.functions import fixed_values as V
+from indicata.operators import partials as P
 
 # --- Fixed values: labels the dimensions are given ----------------------------------------------
 
@@ -220,7 +221,7 @@ def _places(spark: SparkSession, folder: str, side: str, key: str) -> DataFrame:
     return sides.join(nations, F.col(f"{key[0]}_nationkey") == F.col("n_nationkey")).select(key, "GEO")
 
 
-def _labelled_lines(spark: SparkSession, folder: str, label: Column) -> DataFrame:
+def labelled_lines(spark: SparkSession, folder: str, label: Column) -> DataFrame:
     """Line items with the label of their part as ``label``."""
     parts = table(spark, folder, "part").select("p_partkey", label.alias("label"))
     lines = table(spark, folder, "lineitem")
@@ -228,7 +229,7 @@ def _labelled_lines(spark: SparkSession, folder: str, label: Column) -> DataFram
 
 
 def gdp(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _labelled_lines(spark, folder, _brand(GDP_INDUSTRIES))
+    lines = labelled_lines(spark, folder, _brand(GDP_INDUSTRIES))
     return lines.select(
         _month("l_shipdate").alias("REF_DATE"),
         F.lit("Canada").alias("GEO"),
@@ -245,7 +246,7 @@ def gdp(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trade(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _labelled_lines(spark, folder, _type(TRADE_PRODUCTS))
+    lines = labelled_lines(spark, folder, _type(TRADE_PRODUCTS))
     return lines.select(
         _month("l_shipdate").alias("REF_DATE"),
         F.when(F.col("l_linestatus") == "F", "Import").otherwise("Export").alias("Trade"),
@@ -261,7 +262,7 @@ def trade(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hours(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _labelled_lines(spark, folder, _brand(HOURS_INDUSTRIES))
+    lines = labelled_lines(spark, folder, _brand(HOURS_INDUSTRIES))
     return lines.select(
         _month("l_shipdate").alias("REF_DATE"),
         F.lit("Canada").alias("GEO"),
@@ -272,7 +273,7 @@ def hours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def retail(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _labelled_lines(spark, folder, _type(RETAIL_INDUSTRIES)).join(
+    lines = labelled_lines(spark, folder, _type(RETAIL_INDUSTRIES)).join(
         _places(spark, folder, "supplier", "s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey")
     )
     return lines.select(
@@ -393,25 +394,22 @@ def cases_eav(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def country_series(spark: SparkSession, folder: str) -> DataFrame:
-    """Yearly order value per country, one row per country and year.
-
-    Orders are summed per customer's nation; the country names come in after the sum.
-    """
-    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    yearly = (
-        table(spark, folder, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_nationkey", F.year(F.col("o_orderdate").cast("date")).alias("year"))
-        .agg(F.sum(_whole(F.col("o_totalprice"), "bigint")).alias("total"))
+    """Yearly order value per country, one row per country and year."""
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", F.try_element_at(F.lit(COUNTRIES), F.col("c_nationkey") + 1).alias("series")
     )
-    name = F.when(F.col("c_nationkey") < len(COUNTRIES), F.try_element_at(F.lit(COUNTRIES), F.col("c_nationkey") + 1))
-    last_month = F.when(name == "US", 9).otherwise(1)
-    last_day = F.when(name == "US", 30).otherwise(1)
-    return yearly.select(
-        name.alias("series"),
-        F.make_date(F.col("year") + SERIES_SHIFT, last_month, last_day).alias("DATE"),
-        F.col("total").cast("double").alias("VALUE"),
+    orders = table(spark, folder, "orders").select(
+        "o_custkey",
+        F.year(F.col("o_orderdate").cast("date")).alias("year"),
+        _whole(F.col("o_totalprice"), "bigint").alias("price"),
     )
+    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    sums = P.partial_sums(joined.where(F.col("series").isNotNull()), ["series", "year"], "price")
+    autumn = F.col("series") == "US"
+    day = F.make_date(
+        F.col("year") + SERIES_SHIFT, F.when(autumn, 9).otherwise(1), F.when(autumn, 30).otherwise(1)
+    )
+    return sums.select("series", P.after_sums(day).alias("DATE"), F.col(P.SUM).cast("double").alias("VALUE"))
 
 
 def macro_wide(spark: SparkSession, folder: str) -> DataFrame:
