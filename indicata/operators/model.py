@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from indicata.functions import fixed_values as V
+from indicata.operators.reshape import pivot_domain
 from indicata.session import checkpointed
 
 
@@ -121,10 +122,10 @@ def _penalty(estimator: LinearRegression, alpha: float, l1_ratio: float, label_s
 def contiguous_folds(df: DataFrame, folds: int, time: str) -> Column:
     """Fold numbers that are blocks of consecutive values of ``time``, sizes differing by one at most.
 
-    Rows of one time stay together. Only the distinct times are looked at, and only the first time
-    of each fold becomes part of the expression.
+    Rows of one time stay together. Only the distinct times come to the driver, as many as a pivot may
+    have, and only the first time of each fold becomes part of the expression.
     """
-    times = sorted(row[0] for row in df.select(time).distinct().toLocalIterator())
+    times = [value for value in pivot_domain(df, time) if value is not None]
     if len(times) < folds:
         raise ValueError(f"{folds} folds need at least {folds} distinct values of {time}")
     size, larger = divmod(len(times), folds)

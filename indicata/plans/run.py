@@ -35,12 +35,11 @@ class Job:
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     sort_by: str | None = None
-    large: bool = False
     exported: bool = field(default=True)
 
 
 JOBS = (
-    Job("covid_cases", ("covid",), jobs.covid_cases, large=True),
+    Job("covid_cases", ("covid",), jobs.covid_cases),
     Job("provincial_cases", ("covid_cases",), jobs.provincial_cases, "Week Number"),
     Job("GDP_output", ("gdp",), jobs.gdp_output, "REF_DATE"),
     Job("MT_output", ("merchandise_trade",), jobs.trade_output, "YEAR"),
@@ -78,6 +77,9 @@ JOBS = (
 )
 
 
+# results of up to this many rows are exported as one CSV file, larger ones as many
+SINGLE_FILE_ROWS = 500_000
+
 # observation tables several jobs total or average, and the columns those jobs look at
 SUMMARISED = {
     "gdp": ["REF_DATE", "GEO", "Seasonal adjustment", "Prices", V.NAICS],
@@ -185,12 +187,13 @@ def run(
         stored = f"{output}/tables/{job.name}"
         tables.write_table(result, stored, sidecar=f"{output}/schema/{job.name}.json")
         if csv and job.exported:
+            kept = spark.read.parquet(stored)
             tables.write_table(
-                spark.read.parquet(stored),
+                kept,
                 f"{output}/csv/{job.name}",
                 fmt="csv",
                 sort_by=job.sort_by,
-                single_file=not job.large,
+                single_file=kept.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS,
             )
         done.append((job.name, "Successful"))
     return spark.createDataFrame(done, "job string, status string")

@@ -288,14 +288,14 @@ VIEWS["series"] = f"""SELECT {_COUNTRY}[c_nationkey + 1] AS series,
 def _country(name: str) -> str:
     first, last, divisor = V.COUNTRY_SERIES[name]
     return (
-        f"(SELECT CAST(year(date) AS INT) AS date, value / {divisor} AS v FROM series WHERE series = '{name}' "
+        f"(SELECT CAST(year(date) AS INT) AS date, value / CAST({divisor} AS DOUBLE) AS v FROM series WHERE series = '{name}' "
         f"AND date BETWEEN DATE '{first}' AND DATE '{last}') {name.lower()}"
     )
 
 
 _SERIES_PANEL = (
     f"SELECT {S.COUNTRIES[0].lower()}.date AS date, "
-    + ", ".join(f"round({name.lower()}.v, 9) AS {name.lower()}" for name in S.COUNTRIES)
+    + ", ".join(f"{name.lower()}.v AS {name.lower()}" for name in S.COUNTRIES)
     + " FROM "
     + _country(S.COUNTRIES[0])
     + "".join(
@@ -353,7 +353,14 @@ _SELECTS = {
     "case_trend_monthly": """SELECT month, new_cases, recovered_cases, deaths, icu AS hospitalized_and_in_icu,
         ward AS hospitalized__but_not_in_icu, not_hospitalized, unknown_status AS not_stated_unknown,
         workers AS healthcare_workers_affected FROM trend""",
+    "cases_by_known_week_region": _PROVINCIAL + " WHERE n.w IS NOT NULL",
     "gdp_totals_threshold": "SELECT * FROM gdp_totals",
+    "gdp_totals_from_dates": "SELECT * FROM gdp_totals",
+    "gdp_totals_from_summary": "SELECT * FROM gdp_totals",
+    "gdp_totals_one_price_basis": f"""SELECT CAST(ref_date || '-01' AS DATE) AS ref_date, naics,
+        CAST(sum(value) AS BIGINT) AS total_gdp_value FROM gdp
+        WHERE value IS NOT NULL AND adj = 'Seasonally adjusted at annual rates' AND {_DECADE}
+        AND prices = '2012 constant prices' AND naics NOT IN ({_CANNABIS}) GROUP BY ALL HAVING sum(value) > 100""",
     "trade_totals_threshold": "SELECT * FROM trade_totals",
     "tsx_totals_threshold": """SELECT month AS ref_date, statistic AS toronto_stock_exchange_statistics,
         total AS total_stock_value FROM tsx_totals WHERE total > 100""",
@@ -375,6 +382,10 @@ _SELECTS = {
         avg(length(props)) AS avg_size FROM events GROUP BY 1""",
     "row_total_join": f"""SELECT ref_date, round({' + '.join(_RETAIL_KEPT.values())}, 4) AS totalretailtradeprice,
         avg_stock_traded, avg_highest_stock, avg_lowest_stock FROM by_industry JOIN stock_means USING (ref_date)""",
+    "row_total_nulls_as_zero": f"""SELECT ref_date,
+        round({' + '.join(f'coalesce({name}, 0)' for label, name in _RETAIL_KEPT.items() if label != V.RETAIL_TRADE)}, 4)
+            AS totalretailtradeprice,
+        avg_stock_traded, avg_highest_stock, avg_lowest_stock FROM by_industry JOIN stock_means USING (ref_date)""",
     "select_years_distinct": f"""SELECT DISTINCT subject, {', '.join(f'y{y}' for y in range(2014, 2021))} FROM macro
         WHERE subject IS NOT NULL AND units IS NOT NULL
         AND {' AND '.join(f'y{y} IS NOT NULL' for y in range(2014, 2021))}""",
@@ -429,6 +440,13 @@ _SELECTS = {
     + " FROM panel p, (SELECT "
     + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _SCALED)
     + " FROM panel)",
+    "time_split": """SELECT CASE WHEN scaled < 0.8 THEN 'train' ELSE 'test' END AS part, round(scaled, 9) AS year,
+        count(*) AS rows, CAST(sum(gdp) AS BIGINT) AS gdp FROM
+        (SELECT (year - min(year) OVER ()) / CAST(max(year) OVER () - min(year) OVER () AS DOUBLE) AS scaled, gdp
+         FROM panel) GROUP BY 1, 2""",
+    "regression_metrics": """SELECT round(1 - avg((y - p) ** 2) / var_pop(y), 4) AS r2,
+        round(avg((y - p) ** 2), 4) AS mse, round(sqrt(avg((y - p) ** 2)), 4) AS rmse FROM
+        (SELECT gdp / CAST(1e6 AS DOUBLE) AS y, quantity * CAST(0.0015 AS DOUBLE) AS p FROM panel)""",
     "feature_correlation": " UNION ALL ".join(
         f"SELECT '{a}' AS feature, '{b}' AS other, round(corr({a}, {b}), 6) AS correlation FROM panel"
         for a in _CORRELATED

@@ -94,6 +94,11 @@ def cases_by_week_region(spark: SparkSession, folder: str) -> DataFrame:
     return _snake(jobs.provincial_cases(jobs.covid_cases(S.cases_eav(spark, folder))))
 
 
+def cases_by_known_week_region(spark: SparkSession, folder: str) -> DataFrame:
+    cases = jobs.covid_cases(S.cases_eav(spark, folder))
+    return _snake(jobs.provincial_cases(cases, fill_keys=False).where(F.col("Week Number").isNotNull()))
+
+
 def case_trend_monthly(spark: SparkSession, folder: str) -> DataFrame:
     return _snake(jobs.case_trend(jobs.covid_cases(S.cases_eav(spark, folder))))
 
@@ -102,6 +107,21 @@ def gdp_totals_threshold(spark: SparkSession, folder: str) -> DataFrame:
     return _snake(jobs.gdp_output(S.gdp(spark, folder)))
 
 
+def gdp_totals_from_dates(spark: SparkSession, folder: str) -> DataFrame:
+    stored = jobs.cleansed(S.gdp(spark, folder), month_dates=True)
+    return _snake(jobs.gdp_output(stored))
+
+
+def gdp_totals_from_summary(spark: SparkSession, folder: str) -> DataFrame:
+    summary = P.summary(S.gdp(spark, folder), ["REF_DATE", "GEO", "Seasonal adjustment", V.NAICS])
+    return _snake(jobs.gdp_output(summary))
+
+
+def gdp_totals_one_price_basis(spark: SparkSession, folder: str) -> DataFrame:
+    where = {**jobs.ANNUAL_RATES, "Prices": "2012 constant prices"}
+    return _snake(jobs.gdp_output(S.gdp(spark, folder), where))
+
+
 def trade_totals_threshold(spark: SparkSession, folder: str) -> DataFrame:
     return _snake(jobs.trade_output(S.trade(spark, folder)))
 
@@ -155,6 +175,14 @@ def row_total_join(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(_snake(joined), 4, "totalretailtradeprice")
 
 
+def row_total_nulls_as_zero(spark: SparkSession, folder: str) -> DataFrame:
+    by_industry = jobs.retail_by_industry(S.retail(spark, folder), S.RETAIL_INDUSTRIES)
+    joined = jobs.retail_stock_output(
+        by_industry, jobs.stock_output(S.stock(spark, folder)), exclude=[V.RETAIL_TRADE], null_as_zero=True
+    )
+    return _rounded(_snake(joined), 4, "totalretailtradeprice")
+
+
 def select_years_distinct(spark: SparkSession, folder: str) -> DataFrame:
     wide = S.macro_wide(spark, folder)
     rows = jobs.macro_output(wide, [str(year) for year in range(2014, 2021)])
@@ -263,11 +291,7 @@ def merge_monthly_outer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def series_panel(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(
-        _snake(jobs.gdp_countries_output(S.country_series(spark, folder))),
-        9,
-        *[name.lower() for name in V.COUNTRY_SERIES],
-    )
+    return _snake(jobs.gdp_countries_output(S.country_series(spark, folder)))
 
 
 def _features(spark: SparkSession, folder: str, feature_type: str) -> DataFrame:
@@ -315,6 +339,21 @@ def minmax_scale(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(_snake(scaled), 9, *[c.lower() for c in columns])
 
 
+def time_split(spark: SparkSession, folder: str) -> DataFrame:
+    panel = checkpointed(_panel(spark, folder))
+    train, test = model.time_split(model.MinMax.fit(panel, ["YEAR"]).transform(panel))
+    parts = [df.withColumn("part", F.lit(name)) for df, name in ((train, "train"), (test, "test"))]
+    counted = parts[0].unionByName(parts[1]).groupBy("part", "YEAR")
+    return _rounded(_snake(counted.agg(F.count("*").alias("rows"), F.sum("GDP").alias("gdp"))), 9, "year")
+
+
+def regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    predicted = _panel(spark, folder).select(
+        (F.col("GDP") / 1e6).alias("GDP"), (F.col("quantity") * 0.0015).alias("prediction")
+    )
+    return _rounded(_snake(model.regression_metrics(predicted, "GDP")), 4, "r2", "mse", "rmse")
+
+
 def feature_correlation(spark: SparkSession, folder: str) -> DataFrame:
     features = [c for c in PANEL_FEATURES if c not in ("YEAR", "GDP")]
     return _rounded(model.correlations(_panel(spark, folder), features), 6, "correlation")
@@ -342,8 +381,12 @@ QUERIES: dict[str, Query] = {
         week_to_month,
         covid_cases,
         cases_by_week_region,
+        cases_by_known_week_region,
         case_trend_monthly,
         gdp_totals_threshold,
+        gdp_totals_from_dates,
+        gdp_totals_from_summary,
+        gdp_totals_one_price_basis,
         trade_totals_threshold,
         tsx_totals_threshold,
         select_member,
@@ -356,6 +399,7 @@ QUERIES: dict[str, Query] = {
         stock_monthly_means,
         series_daily_means,
         row_total_join,
+        row_total_nulls_as_zero,
         select_years_distinct,
         unpivot_years,
         transpose_panel,
@@ -373,6 +417,8 @@ QUERIES: dict[str, Query] = {
         prediction_features,
         prediction_features_double,
         minmax_scale,
+        time_split,
+        regression_metrics,
         feature_correlation,
         elastic_net_metrics,
         elastic_net_predictions,
