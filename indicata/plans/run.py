@@ -132,14 +132,22 @@ def ingest(
     """Cleanse every table a manifest lists; return ``table_id``, ``status``.
 
     Raw tables are ``raw/<table id>.csv``. With ``archives``, the zip files of that folder are first
-    unpacked under ``raw`` and read from there. Tables already under ``output`` are skipped.
+    unpacked under ``raw`` and read from there, unless every listed table is already there or cleansed.
+    Tables already under ``output`` are skipped.
     """
+    manifest = read_manifest(spark, manifest_path)
     location = f"{raw}/{{}}.csv"
     if archives is not None:
-        extract_archives(spark, archives, raw)
         location = f"{raw}/member={{}}"
+        present = [
+            tables.path_exists(spark, f"{output}/{row['table_id']}")
+            or tables.path_exists(spark, location.format(row["table_id"]))
+            for row in manifest.toLocalIterator()
+        ]
+        if not all(present):
+            extract_archives(spark, archives, raw)
     return run_manifest(
-        read_manifest(spark, manifest_path),
+        manifest,
         lambda identifier: cleanse_table(spark, location.format(identifier), output, identifier, month_dates),
         lambda identifier: f"{output}/{identifier}",
     )

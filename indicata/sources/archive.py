@@ -56,18 +56,19 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(_archive_lines, schema=_LINES)
 
 
-def extract_archives(spark: SparkSession, path: str, output: str, mode: str = "overwrite") -> None:
+def extract_archives(spark: SparkSession, path: str, output: str) -> None:
     """Write each archive's first member as text under ``output/member=<name>/``.
 
     An archive is read by one task, and the sort within that task keeps its lines, header first, in
-    their order.
+    their order. Members extracted again are replaced; whatever else is in ``output`` stays.
     """
     (
         read_archives(spark, path)
         .withColumn("member", F.regexp_replace("member", r"\.[^.]*$", ""))
         .sortWithinPartitions("member", "line_number")
         .select("line", "member")
-        .write.mode(mode)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("member")
         .text(output)
     )

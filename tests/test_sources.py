@@ -284,12 +284,14 @@ def test_ingest_from_archives(spark, folder, inputs):
         with zipfile.ZipFile(f"{folder}/zips/{identifier}.zip", "w", zipfile.ZIP_DEFLATED) as out:
             out.write(f"{inputs}/{identifier}/part.csv", f"{identifier}.csv")
     listed = write(f"{folder}/list.txt", "GDP :36100434\nTSX :10100125\nLost :33100111\n")
+    kept = write(f"{folder}/raw/member=other/part.txt", "kept\n")
     options = (spark, listed, f"{folder}/raw", f"{folder}/clean", f"{folder}/zips")
     status = dict(tuple(r) for r in run.ingest(*options).collect())
     assert status["36100434"] == status["10100125"] == "Successful"
     assert "AnalysisException" in status["33100111"]
     again = dict(tuple(r) for r in run.ingest(*options).collect())
     assert again["36100434"] == again["10100125"] == "Skipped"
+    assert os.path.exists(kept)
     clean = jobs.gdp_output(run.read_input(spark, f"{folder}/clean", "gdp"))
     assert clean.count() == jobs.gdp_output(run.read_input(spark, inputs, "gdp")).count() > 0
 
