@@ -102,8 +102,12 @@ def pivot_means(
     value: str,
     values: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Mean per ``key`` with one column per member, for a frame that is already small."""
+    """Mean per ``key`` with one column per member, for a frame that is already small.
+
+    Members not given are discovered on the checkpointed frame, so what leads to it runs once.
+    """
     if values is None:
+        df = checkpointed(df)
         values = pivot_domain(df, column)
     return df.groupBy(key.alias(key_name)).agg(
         *[F.avg(F.when(_is(column, member), _quoted(value))).alias(_name(member)) for member in values]
@@ -178,6 +182,7 @@ def transpose_panel(
     no single cell to go to and fail the query.
     """
     if values is None:
+        panel = checkpointed(panel)
         values = pivot_domain(panel, pivot_column)
     long = unpivot_columns(panel, pivot_column, columns, "_name", "_value")
     cells = []

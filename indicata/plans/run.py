@@ -109,10 +109,12 @@ def cleanse_table(
 ) -> None:
     """Cleanse one raw CSV table to Parquet under ``output/<table id>`` with a schema sidecar.
 
-    An existing output is an error and the raw input is never touched.
+    An existing output is an error and the raw input is never touched. Months of a known table are
+    stored as dates; a table without a known schema keeps its text.
     """
-    schema = schemas.observation_schema(identifier) if identifier in V.OBSERVATION_TABLES else None
-    kept = jobs.cleansed(tables.read_csv(spark, raw_path, schema), month_dates=month_dates)
+    known = identifier in V.OBSERVATION_TABLES
+    raw = tables.read_csv(spark, raw_path, schemas.observation_schema(identifier) if known else None)
+    kept = jobs.cleansed(raw, month_dates=month_dates and known)
     tables.write_table(
         kept,
         f"{output}/{identifier}",

@@ -271,6 +271,13 @@ def test_cleansed_dates_give_the_same_results(spark, folder, inputs):
         run.cleanse_table(spark, f"{inputs}/36100434", clean, "36100434")
 
 
+def test_unknown_table_keeps_its_text(spark, folder):
+    path = write(f"{folder}/raw.csv", "REF_DATE,VALUE\n2015,1\n2009,2\n2016,3\n")
+    run.cleanse_table(spark, path, f"{folder}/clean", "99999999")
+    stored = spark.read.parquet(f"{folder}/clean/99999999")
+    assert sorted(tuple(r) for r in stored.collect()) == [("2015", 1), ("2016", 3)]
+
+
 def test_selected_jobs_bring_their_inputs(spark, folder, inputs):
     status = run.run(spark, inputs, f"{folder}/o", ["TSX-yearly"])
     assert [r["job"] for r in status.collect()] == ["tsx_totals", "TSX_output", "TSX-yearly"]
