@@ -49,7 +49,7 @@ def star_join(series):
         )
         for name, (first, last, divisor) in V.COUNTRY_SERIES.items()
     ]
-    return reduce(lambda a, b: a.join(F.broadcast(b), "DATE"), sides)
+    return reduce(lambda a, b: a.join(b, "DATE"), sides)
 
 
 def parsed_rows(gdp):
