@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Texts are worked on in slices of about this many bytes, which bounds a worker's memory.
@@ -23,12 +23,8 @@ WORD_CACHE = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the folder of ``spark.checkpoint.dir``.
-
-    A local session that names no folder gets one of its own; any other session must name one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only a local session that names none gets one of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,6 +33,12 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -20,11 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.llm import common as C
+from indicata.llm.bloom import MAX_BLOCKS, blocked_bloom, blocks_for, mark
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Bits of the filter per listed URL, and the most blocks (of 256 bits) that are ever broadcast: 12 MB.
-BITS_PER_URL = 16
-MAX_BLOCKS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -81,31 +79,6 @@ def longest_rule(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> t
     return text, verdict
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks))
-
-
-def _bits(key: Column) -> list[Column]:
-    """One bit of each of the block's four words, from a second hash."""
-    second = F.xxhash64(key, F.lit(1))
-    one = F.lit(1).cast("long")
-    return [F.call_function("shiftleft", one, F.shiftrightunsigned(second, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(4)]
-
-
-def blocked_bloom(listed: DataFrame, key: str, blocks: int) -> DataFrame:
-    """The filter's blocks that have bits: ``block`` and words ``w0`` to ``w3``."""
-    words = [F.bit_or(bit).alias(f"w{i}") for i, bit in enumerate(_bits(F.col(key)))]
-    return listed.groupBy(_block(F.col(key), blocks).alias("block")).agg(*words)
-
-
-def blocks_for(listed: int, max_blocks: int = MAX_BLOCKS) -> int:
-    """Enough blocks for ``BITS_PER_URL`` bits per listed URL, up to the bound."""
-    blocks = 1
-    while blocks < max_blocks and blocks * 256 < listed * BITS_PER_URL:
-        blocks *= 2
-    return blocks
-
-
 def mark_listed(df: DataFrame, key: str, listed: DataFrame, listed_key: str, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """``df`` with ``possible`` (the filter's answer) and ``listed`` (the exact one) for the text in ``key``.
 
@@ -113,23 +86,16 @@ def mark_listed(df: DataFrame, key: str, listed: DataFrame, listed_key: str, max
     and joined, so it should be cheap to read three times or cut before.
     """
     names = C.fresh(df, "possible", "listed")
-    urls = listed.where((F.col(listed_key) != "") & F.col(listed_key).isNotNull()).select(
-        F.col(listed_key).alias("url")
-    )
-    urls = urls.distinct()
+    wanted = F.when(F.col(listed_key) != "", F.col(listed_key)).alias("url")
+    urls = listed.select(wanted).where("url IS NOT NULL").distinct()
     blocks = blocks_for(urls.count(), max_blocks)
-    bloom = blocked_bloom(urls, "url", blocks)
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{key}`").alias("key"))
-    rows = rows.withColumn("at", _block(F.col("key"), blocks))
-    probed = rows.join(F.broadcast(bloom), F.col("at") == F.col("block"), "left")  # at most max_blocks rows
-    hit = F.col("key") != ""
-    for i, bit in enumerate(_bits(F.col("key"))):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(bit) != 0)
-    probed = probed.select("row", "key", F.coalesce(hit, F.lit(False)).alias("hit"))
-    exact = probed.where("hit").join(urls, F.col("key") == F.col("url"), "left")
-    columns = [F.col("hit").alias(names[0]), F.col("url").isNotNull().alias(names[1])]
-    rest = probed.where("NOT hit").withColumn("url", F.lit(None).cast("string"))
-    return exact.select("row.*", *columns).unionByName(rest.select("row.*", *columns))
+    hit, found = names
+    marked = mark(df, F.col(f"`{key}`"), blocked_bloom(urls, "url", blocks), blocks, hit)
+    (url,) = C.fresh(marked, "url")
+    exact = marked.where(F.col(hit)).join(urls.withColumnRenamed("url", url), F.col(f"`{key}`") == F.col(url), "left")
+    rest = marked.where(~F.col(hit)).withColumn(url, F.lit(None).cast("string"))
+    both = exact.select(*[f"`{c}`" for c in marked.columns], url).unionByName(rest)
+    return both.withColumn(found, F.col(url).isNotNull()).drop(url)
 
 
 def judge_urls(
