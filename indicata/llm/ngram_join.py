@@ -70,7 +70,8 @@ def shingles(words: list[list[bytes]], cache: C.WordHash) -> Iterator[tuple[np.n
             yield np.zeros(0, np.uint64), key
 
 
-PROFILE = "doc_id bigint, key binary, n int, prefix array<bigint>"
+PROFILE = "doc_id bigint, key binary, n int, p int"
+SPREAD = "doc bigint, prefix array<bigint>"
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -80,35 +81,48 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[tuple[np.ndarray, bytes]]]]:
+    """Ids, and sets with keys, of a slice of texts at a time."""
+    cache = C.WordHash()
+    for batch in batches:
+        data = C.as_bytes(batch.column(1))
+        for start, end in C.slices(data):
+            words = [(t or b"").lower().split() for t in data.slice(start, end - start).to_pylist()]
+            yield batch.column(0).slice(start, end - start), list(shingles(words, cache))
+
+
+def _prefix(n: int, percent: int) -> int:
+    """Shingles of the lengthened prefix."""
+    return min(n, base_length(n, percent) + LONGER + n // 12) if n else 0
+
+
 def _profiles(percent: int):
     def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = C.WordHash()
-        for batch in batches:
-            data = C.as_bytes(batch.column(1))
-            for start, end in C.slices(data):
-                words = [(t or b"").lower().split() for t in data.slice(start, end - start).to_pylist()]
-                keys, counts, prefixes = [], [], []
-                for own, key in shingles(words, cache):
-                    n = len(own)
-                    keys.append(key)
-                    counts.append(n)
-                    prefixes.append(own[: base_length(n, percent) + LONGER + n // 12] if n else own)
-                ids = batch.column(0).slice(start, end - start)
-                arrays = [ids, pa.array(keys, pa.binary()), pa.array(counts, pa.int32()), _lists(prefixes)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "n", "prefix"])
+        for ids, found in _read(batches):
+            counts = [len(own) for own, _ in found]
+            columns = [
+                ids,
+                pa.array([key for _, key in found], pa.binary()),
+                pa.array(counts, pa.int32()),
+                pa.array([_prefix(n, percent) for n in counts], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n", "p"])
 
     return profiles
 
 
+def _prefixes(percent: int):
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, found in _read(batches):
+            lists = _lists([own[: _prefix(len(own), percent)] for own, _ in found])
+            yield pa.RecordBatch.from_arrays([ids, lists], names=["doc", "prefix"])
+
+    return prefixes
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = C.WordHash()
-    for batch in batches:
-        data = C.as_bytes(batch.column(1))
-        for start, end in C.slices(data):
-            words = [(t or b"").lower().split() for t in data.slice(start, end - start).to_pylist()]
-            found = [own for own, _ in shingles(words, cache)]
-            ids = batch.column(0).slice(start, end - start)
-            yield pa.RecordBatch.from_arrays([ids, _lists(found)], names=["doc", "shingles"])
+    for ids, found in _read(batches):
+        yield pa.RecordBatch.from_arrays([ids, _lists([own for own, _ in found])], names=["doc", "shingles"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -128,33 +142,39 @@ def _required(percent: int) -> Column:
     return shared - F.col("out_a")
 
 
+def _lively(docs: DataFrame, profiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The representatives that can have links: ``doc``, ``n``, ``p``, ``out``, ``asked``, ``tokens``.
+
+    ``tokens`` are the prefix shingles that occur elsewhere, the cheapest first, and the first ``asked`` of
+    them are looked up. Texts are read for this twice, once for the costs, which is cheaper than keeping
+    all prefixes.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    spread = named.mapInArrow(_prefixes(percent), SPREAD).select("doc", F.explode("prefix").alias("token"))
+    # how many documents each prefix shingle brings in; those of one document bring in nothing
+    cost = spread.groupBy("token").agg(F.count(F.lit(1)).alias("cost")).where("cost > 1")
+    by_cost = F.sort_array(F.collect_list(F.struct(F.col("cost").cast("int").alias("cost"), "token")))
+    common = spread.join(cost, "token").groupBy("doc").agg(F.transform(by_cost, lambda c: c["token"]).alias("tokens"))
+    known = profiles.where("doc_id IS NOT NULL AND n > 0").join(classes, "key").where("doc = doc_id")
+    sizes = known.select("doc", "n", "p", _left_out(F.col("n"), percent).alias("out")).dropDuplicates(["doc"])
+    # the cheapest p - out shingles are looked up; unique ones come first and find nothing
+    asked = (F.size("tokens") - F.col("out")).alias("asked")
+    lively = sizes.join(common, "doc").select("doc", "n", "p", "out", asked, "tokens")
+    return C.cut(lively.where("asked > 0"))
+
+
 def link(df: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of each row.
 
-    The text is read twice, the second time only of documents that have candidates.
+    The text is read four times, the last time only of documents that have candidates.
     """
     docs = df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     profiles = C.cut(docs.mapInArrow(_profiles(percent), PROFILE))
     known = profiles.where("doc_id IS NOT NULL AND n > 0")
     classes = C.cut(known.groupBy("key").agg(F.min("doc_id").alias("doc")))
-
-    # how many documents each prefix shingle brings in; those of one document bring in nothing
-    spread = known.select(F.col("doc_id").alias("doc"), F.explode("prefix").alias("token"))
-    cost = spread.groupBy("token").agg(F.count(F.lit(1)).alias("cost")).where("cost > 1")
-    common = spread.join(cost, "token").groupBy("doc").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("cost").cast("int").alias("cost"), "token"))).alias("common")
-    )
-    sizes = known.join(classes, "key").where("doc = doc_id").select(
-        "doc", "n", F.size("prefix").alias("p"), _left_out(F.col("n"), percent).alias("out")
-    )
-    # the cheapest p - out shingles are looked up; unique ones come first and find nothing
-    asked = (F.col("p") - F.col("out") - (F.col("p") - F.size("common"))).alias("asked")
-    lively = sizes.dropDuplicates(["doc"]).join(common, "doc").select("doc", "n", "p", "out", asked, "common")
-    lively = C.cut(lively.where("asked > 0"))
-    postings = lively.select("doc", "n", "p", "out", "asked", F.posexplode("common").alias("at", "c"))
-    postings = postings.select(
-        "doc", "n", "p", "out", F.col("c.token").alias("token"), (F.col("at") < F.col("asked")).alias("asks")
-    )
+    lively = _lively(docs, profiles, classes, percent)
+    postings = lively.select("doc", "n", "p", "out", "asked", F.posexplode("tokens").alias("at", "token"))
+    postings = postings.select("doc", "n", "p", "out", "token", (F.col("at") < F.col("asked")).alias("asks"))
 
     # texts of the documents that can have links at all
     some = possible(docs, "doc_id", lively, "doc")
@@ -174,7 +194,7 @@ def link(df: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str =
     placed = postings.join(grouped.join(weights, "root"), F.col("doc") == F.col("node"), "left").withColumn(
         "side", F.struct(F.coalesce("members", F.lit(1)), F.coalesce("root", "doc"))
     )
-    placed = C.cut(placed.select("token", "doc", "n", "p", "out", "asks", "side"))
+    placed = placed.select("token", "doc", "n", "p", "out", "asks", "side")
     extremes = placed.groupBy("token").agg(F.min("side").alias("low"), F.max("side").alias("high"))
     open_ = placed.join(extremes.where("low <> high").drop("low"), "token")
     left = open_.where("asks AND side <> high").select(
