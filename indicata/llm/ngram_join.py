@@ -12,9 +12,11 @@ document whose others are all unique needs no candidates at all; that removes al
 pair is a candidate when it shares as many prefix shingles as sizes and prefix lengths imply, less what
 was left out, and is then verified on whole sets.
 
+A document that is still costly gets a prefix of its whole set, with all but the least similarity's share
+left out, and costs counted among such documents only.
+
 Components, not all links, are the result, so links inside a component are not sought twice: each
-document is first verified against the commonest smallest document of its prefix shingles, and then
-only pairs of different components are formed, from the smaller component to the larger. A group of any number of near copies costs a number of pairs that follows its size.
+document is first verified against a few that come first for most of its shingles, and then only pairs of different components are formed, from the smaller component to the larger. A group of any number of near copies costs a number of pairs that follows its size.
 
 Rows that share an id are one node. Null ids take part in nothing and get a null component; null, empty and
 white-space texts have no shingles and link with nothing. Extra columns are ignored; an empty table gives no
@@ -40,6 +42,8 @@ PERCENT = 75
 #: A prefix is lengthened by ``LONGER + n // 12``; partners are at least 3/4 as large, so at least
 #: ``LONGER + n // 16`` of a document's prefix may be left out whatever the partner's size.
 LONGER = 24
+#: How often documents are linked to a first one each, before all other pairs are formed.
+STARS = 3
 
 
 def base_length(n: int | np.ndarray, percent: int = PERCENT):
@@ -163,6 +167,39 @@ def _lively(docs: DataFrame, profiles: DataFrame, classes: DataFrame, percent: i
     return C.cut(lively.where("asked > 0"))
 
 
+def _lengthened(sets: DataFrame, percent: int) -> DataFrame:
+    """As ``_lively``, with prefixes as long as the sets and costs counted among these documents only."""
+    rows = sets.select("doc", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    cost = rows.groupBy("token").agg(F.count(F.lit(1)).alias("cost")).where("cost > 1")
+    by_cost = F.sort_array(F.collect_list(F.struct(F.col("cost").cast("int").alias("cost"), "token")))
+    tokens = F.transform(by_cost, lambda c: c["token"]).alias("tokens")
+    common = rows.join(cost, "token").groupBy("doc", "n").agg(tokens)
+    out = (F.ceil(F.col("n") * percent / 100) - 1).cast("int")
+    found = common.select("doc", "n", F.col("n").alias("p"), out.alias("out"), (F.size("tokens") - out).alias("asked"), "tokens")
+    return C.cut(found.where("asked > 0"))
+
+
+def _placed(postings: DataFrame, grouped: DataFrame | None) -> DataFrame:
+    """Postings with ``side``, the size and root of the document's component."""
+    if grouped is None:
+        return postings.withColumn("side", F.struct(F.lit(1).cast("long").alias("members"), F.col("doc").alias("root")))
+    weights = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    named = postings.join(grouped.join(weights, "root"), F.col("doc") == F.col("node"), "left")
+    side = F.struct(F.coalesce("members", F.lit(1)).alias("members"), F.coalesce("root", "doc").alias("root"))
+    return named.withColumn("side", side).drop("node", "root", "members")
+
+
+def _stars(placed: DataFrame, turn: int) -> DataFrame:
+    """Per document the pair with the document of another component that comes first, in the order of the
+    turn, for most of its shingles."""
+    order = F.col("doc") if turn == 0 else F.xxhash64("doc", F.lit(turn))
+    first = placed.groupBy("token").agg(F.min(F.struct(order.alias("order"), "doc", "side")).alias("first"))
+    met = placed.join(first, "token").where("side <> first.side")
+    met = met.groupBy("doc", F.col("first.doc").alias("other")).agg(F.count(F.lit(1)).alias("shared"))
+    best = met.groupBy("doc").agg(F.max(F.struct("shared", "other")).alias("best"))
+    return best.select(F.col("doc").alias("a"), F.col("best.other").alias("b"))
+
+
 def link(df: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of each row.
 
@@ -173,28 +210,26 @@ def link(df: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str =
     known = profiles.where("doc_id IS NOT NULL AND n > 0")
     classes = C.cut(known.groupBy("key").agg(F.min("doc_id").alias("doc")))
     lively = _lively(docs, profiles, classes, percent)
-    postings = lively.select("doc", "n", "p", "out", "asked", F.posexplode("tokens").alias("at", "token"))
-    postings = postings.select("doc", "n", "p", "out", "token", (F.col("at") < F.col("asked")).alias("asks"))
-
     # texts of the documents that can have links at all
     some = possible(docs, "doc_id", lively, "doc")
     own = some.join(lively.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
     sets = C.cut(own.select("doc_id", "text").mapInArrow(_sets, "doc bigint, shingles array<bigint>"))
 
-    # first links: each document with the smallest one of most of its shingles
-    first = postings.groupBy("token").agg(F.min("doc").alias("low"))
-    stars = postings.join(first, "token").where("low < doc").groupBy("doc", "low").agg(F.count(F.lit(1)).alias("shared"))
-    best = stars.groupBy("doc").agg(F.max(F.struct("shared", -F.col("low"))).alias("best"))
-    tried = best.select((-F.col("best.col2")).alias("a"), F.col("doc").alias("b"))
-    links = C.cut(_verified(tried, sets, percent))
-    grouped = components(links)
+    # what is still costly gets prefixes of its whole set, among what else is left; twice, as that thins it
+    for _ in range(2):
+        lively = _lengthened(sets.join(lively.select("doc"), "doc", "left_semi"), percent)
+    postings = lively.select("doc", "n", "p", "out", "asked", F.posexplode("tokens").alias("at", "token"))
+    postings = postings.select("doc", "n", "p", "out", "token", (F.col("at") < F.col("asked")).alias("asks"))
+
+    # first links: each document with one that has most of its shingles; three choices, as one may fail
+    links = grouped = None
+    for turn in range(STARS):
+        more = _verified(_stars(_placed(postings, grouped), turn), sets, percent)
+        links = C.cut(more if links is None else links.unionByName(more))
+        grouped = components(links)
 
     # then pairs of different components only, from the smaller component to the larger
-    weights = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    placed = postings.join(grouped.join(weights, "root"), F.col("doc") == F.col("node"), "left").withColumn(
-        "side", F.struct(F.coalesce("members", F.lit(1)), F.coalesce("root", "doc"))
-    )
-    placed = placed.select("token", "doc", "n", "p", "out", "asks", "side")
+    placed = _placed(postings, grouped)
     extremes = placed.groupBy("token").agg(F.min("side").alias("low"), F.max("side").alias("high"))
     open_ = placed.join(extremes.where("low <> high").drop("low"), "token")
     left = open_.where("asks AND side <> high").select(
