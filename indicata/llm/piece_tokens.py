@@ -33,20 +33,23 @@ MARK = "▁"
 #: How far below the lowest score of a piece a character spelled in bytes is.
 UNKNOWN_PENALTY = 10.0
 #: A worker keeps the ids of about so many words, of at most ``LONG_WORD`` characters.
-KEPT_WORDS, LONG_WORD = 1 << 18, 64
+KEPT_WORDS, LONG_WORD = 1 << 19, 64
 
 
 @dataclass(frozen=True)
 class Pieces:
-    """What encoding needs of a model file: scores and ids by piece, bytes by id."""
+    """What encoding needs of a model file.
 
-    scores: dict[str, tuple[float, int]]
+    ``tails`` has the score and id of every piece, and (None, -1) for what only ends a piece, so that a
+    search backwards from a position stops where no piece goes on. ``raw`` has the bytes of each id.
+    """
+
+    tails: dict[str, tuple[float | None, int]]
     byte_ids: tuple[int, ...]
     raw: tuple[bytes, ...]
-    longest: int
     unknown: float
-    unknown_id: int
     words: str
+    alone: str
 
     @classmethod
     def load(cls, path: str = MODEL_FILE) -> Pieces:
@@ -67,23 +70,34 @@ class Pieces:
         crossing = any(MARK in p.lstrip(MARK) for p in scores)
         alone = "".join(c for c in "\n\r\t" if not any(c in p for p in scores))
         words = "[\\s\\S]+" if crossing else f"[{alone}]|{MARK}*[^{MARK}{alone}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+"
+        tails: dict[str, tuple[float | None, int]] = {p[i:]: (None, -1) for p in scores for i in range(len(p))}
+        tails.update(scores)
         return cls(
-            scores,
+            tails,
             tuple(byte_ids.get(b, model.unk_id()) for b in range(256)),
             tuple(raw),
-            max(map(len, scores), default=1),
             min((s for s, _ in scores.values()), default=0.0) - UNKNOWN_PENALTY,
-            model.unk_id(),
             words,
+            "" if crossing else alone,
         )
 
     def spelled(self, text: str) -> list[int]:
         return [self.byte_ids[b] for b in text.encode()]
 
 
+def _words(marked: str, words_of: re.Pattern, alone: str) -> list[str]:
+    """What ``words_of`` finds; texts of single spaces are split instead, which is faster."""
+    if not alone or MARK * 2 in marked or "\0" in marked:
+        return words_of.findall(marked)
+    for c in alone:
+        if c in marked:
+            marked = marked.replace(c, f"\0{c}\0")
+    return [w for w in marked.replace(MARK, f"\0{MARK}").split("\0") if w]
+
+
 def encode_sorted(words: Iterable[str], pieces: Pieces) -> Iterable[tuple[str, list[int]]]:
     """Each word with its best ids; words must be sorted, so that those with a common prefix are together."""
-    scores, longest, unknown = pieces.scores, pieces.longest, pieces.unknown
+    tail, unknown = pieces.tails.get, pieces.unknown
     before = ""
     best, came, last = [0.0], [0], [-1]  # per prefix length: score, where its last piece begins, that piece
     for word in words:
@@ -95,10 +109,11 @@ def encode_sorted(words: Iterable[str], pieces: Pieces) -> Iterable[tuple[str, l
         del best[shared + 1 :], came[shared + 1 :], last[shared + 1 :]
         for end in range(shared + 1, len(word) + 1):
             top, begin, piece = best[end - 1] + unknown, end - 1, -1
-            for start in range(max(0, end - longest), end):
-                found = scores.get(word[start:end])
-                if found is not None and best[start] + found[0] > top:
-                    top, begin, piece = best[start] + found[0], start, found[1]
+            start = end - 1
+            while start >= 0 and (found := tail(word[start:end])):
+                if found[0] is not None and (total := best[start] + found[0]) >= top:
+                    top, begin, piece = total, start, found[1]
+                start -= 1
             best.append(top)
             came.append(begin)
             last.append(piece)
@@ -128,18 +143,16 @@ def encode(text: Column, pieces: Pieces) -> Column:
             for t in texts:
                 first, *rest = t.split(MARK)
                 marked = [(MARK + first if t else "").replace(" ", MARK), *(r.replace(" ", MARK) for r in rest)]
-                parts.append([words_of.findall(m) for m in marked])
+                parts.append([_words(m, words_of, pieces.alone) for m in marked])
             if len(known) > KEPT_WORDS:
                 known.clear()
             new = sorted(set(chain.from_iterable(chain.from_iterable(parts))) - known.keys())
             fresh = {w: np.array(ids, np.int32).tobytes() for w, ids in encode_sorted(new, pieces)}
             known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONG_WORD)
-            if len(new) != len(fresh) or any(len(w) > LONG_WORD for w in new):
-                look = {**known, **fresh}
-            else:
-                look = known
+            long = {w: ids for w, ids in fresh.items() if len(w) > LONG_WORD}
+            look = (lambda x: known.get(x) or long[x]) if long else known.__getitem__
             for p in parts:
-                ids = literal.join(b"".join(map(look.__getitem__, w)) for w in p)
+                ids = literal.join(b"".join(map(look, w)) for w in p)
                 values.append(ids)
                 lengths.append(len(ids) // 4)
         offsets = pa.array([0, *accumulate(lengths)], pa.int32())
