@@ -16,6 +16,7 @@ their ids; an empty table gives no rows; other columns pass through.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import accumulate, chain
@@ -34,17 +35,23 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: A worker keeps the ids of about so many words, of at most ``LONG_WORD`` characters.
 KEPT_WORDS, LONG_WORD = 1 << 19, 64
+DECODED = 1 << 18
+
+
+def _code(ids: Iterable[int]) -> bytes:
+    """Ids as the bytes of 32-bit integers."""
+    return array("i", ids).tobytes()
 
 
 @dataclass(frozen=True)
 class Pieces:
     """What encoding needs of a model file.
 
-    ``tails`` has the score and id of every piece, and (None, -1) for what only ends a piece, so that a
+    ``tails`` has the score and id (as bytes) of every piece, and (None, b"") for what only ends a piece, so that a
     search backwards from a position stops where no piece goes on. ``raw`` has the bytes of each id.
     """
 
-    tails: dict[str, tuple[float | None, int]]
+    tails: dict[str, tuple[float | None, bytes]]
     byte_ids: tuple[int, ...]
     raw: tuple[bytes, ...]
     unknown: float
@@ -64,13 +71,13 @@ class Pieces:
             elif model.is_control(i) or model.is_unknown(i):
                 raw.append(b"")
             else:
-                scores[piece] = (model.get_score(i), i)
+                scores[piece] = (model.get_score(i), _code([i]))
                 raw.append(piece.replace(MARK, " ").encode())
         # marks and line ends that no piece continues over part the text into words
         crossing = any(MARK in p.lstrip(MARK) for p in scores)
         alone = "".join(c for c in "\n\r\t" if not any(c in p for p in scores))
         words = "[\\s\\S]+" if crossing else f"[{alone}]|{MARK}*[^{MARK}{alone}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+"
-        tails: dict[str, tuple[float | None, int]] = {p[i:]: (None, -1) for p in scores for i in range(len(p))}
+        tails: dict[str, tuple[float | None, bytes]] = {p[i:]: (None, b"") for p in scores for i in range(len(p))}
         tails.update(scores)
         return cls(
             tails,
@@ -81,8 +88,8 @@ class Pieces:
             "" if crossing else alone,
         )
 
-    def spelled(self, text: str) -> list[int]:
-        return [self.byte_ids[b] for b in text.encode()]
+    def spelled(self, text: str) -> bytes:
+        return _code([self.byte_ids[b] for b in text.encode()])
 
 
 def _words(marked: str, words_of: re.Pattern, alone: str) -> list[str]:
@@ -95,36 +102,28 @@ def _words(marked: str, words_of: re.Pattern, alone: str) -> list[str]:
     return [w for w in marked.replace(MARK, f"\0{MARK}").split("\0") if w]
 
 
-def encode_sorted(words: Iterable[str], pieces: Pieces) -> Iterable[tuple[str, list[int]]]:
+def encode_sorted(words: Iterable[str], pieces: Pieces) -> Iterable[tuple[str, bytes]]:
     """Each word with its best ids; words must be sorted, so that those with a common prefix are together."""
     tail, unknown = pieces.tails.get, pieces.unknown
     before = ""
-    best, came, last = [0.0], [0], [-1]  # per prefix length: score, where its last piece begins, that piece
+    best, codes = [0.0], [b""]  # the score and the ids of each prefix of the word
     for word in words:
         shared = 0
         for a, b in zip(before, word):
             if a != b:
                 break
             shared += 1
-        del best[shared + 1 :], came[shared + 1 :], last[shared + 1 :]
+        del best[shared + 1 :], codes[shared + 1 :]
         for end in range(shared + 1, len(word) + 1):
-            top, begin, piece = best[end - 1] + unknown, end - 1, -1
             start = end - 1
+            top, begin, code = best[start] + unknown, start, None
             while start >= 0 and (found := tail(word[start:end])):
                 if found[0] is not None and (total := best[start] + found[0]) >= top:
-                    top, begin, piece = total, start, found[1]
+                    top, begin, code = total, start, found[1]
                 start -= 1
             best.append(top)
-            came.append(begin)
-            last.append(piece)
-        ids: list[int] = []
-        end = len(word)
-        while end:
-            begin = came[end]
-            ids.extend(reversed(pieces.spelled(word[begin:end])) if last[end] < 0 else (last[end],))
-            end = begin
-        ids.reverse()
-        yield word, ids
+            codes.append(codes[begin] + (pieces.spelled(word[begin:end]) if code is None else code))
+        yield word, codes[-1]
         before = word
 
 
@@ -132,7 +131,7 @@ def encode(text: Column, pieces: Pieces) -> Column:
     """The ids of a text."""
     words_of = re.compile(pieces.words)
     known: dict[str, bytes] = {}
-    literal = np.array(pieces.spelled(MARK), np.int32).tobytes()
+    literal = pieces.spelled(MARK)
 
     def encoded(column: pa.Array) -> pa.Array:
         data = C.as_bytes(column)
@@ -147,7 +146,7 @@ def encode(text: Column, pieces: Pieces) -> Column:
             if len(known) > KEPT_WORDS:
                 known.clear()
             new = sorted(set(chain.from_iterable(chain.from_iterable(parts))) - known.keys())
-            fresh = {w: np.array(ids, np.int32).tobytes() for w, ids in encode_sorted(new, pieces)}
+            fresh = dict(encode_sorted(new, pieces))
             known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONG_WORD)
             long = {w: ids for w, ids in fresh.items() if len(w) > LONG_WORD}
             look = (lambda x: known.get(x) or long[x]) if long else known.__getitem__
@@ -164,17 +163,27 @@ def encode(text: Column, pieces: Pieces) -> Column:
 
 def decode(ids: Column, pieces: Pieces) -> Column:
     """The text of ids; the mark that encoding put first is taken off again."""
-    raw = pieces.raw
+    sizes = np.array([len(r) for r in pieces.raw], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    letters = np.frombuffer(b"".join(pieces.raw), np.uint8)
 
     def decoded(column: pa.Array) -> pa.Array:
         offsets, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-        texts = []
-        for i, valid in enumerate(column.is_valid().to_pylist()):
-            if not valid:
-                texts.append(None)
-                continue
-            text = b"".join(map(raw.__getitem__, flat[offsets[i] : offsets[i + 1]].tolist()))
-            texts.append(text.decode(errors="replace").removeprefix(" "))
+        texts: list[str | None] = []
+        valid = column.is_valid().to_pylist()
+        first = 0
+        while first < len(valid):  # rows of about DECODED ids at a time
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + DECODED, "right")) - 1)
+            ids = flat[offsets[first] : offsets[last]]
+            ends = np.zeros(len(ids) + 1, np.int64)
+            np.cumsum(sizes[ids], out=ends[1:])
+            place = np.arange(ends[-1]) + np.repeat(begins[ids] - ends[:-1], sizes[ids])
+            data = letters[place].tobytes()
+            cuts = ends[offsets[first : last + 1] - offsets[first]].tolist()
+            for i in range(first, last):
+                text = data[cuts[i - first] : cuts[i - first + 1]].decode(errors="replace").removeprefix(" ")
+                texts.append(text if valid[i] else None)
+            first = last
         return pa.array(texts, pa.string())
 
     return F.arrow_udf(decoded, "string")(ids)

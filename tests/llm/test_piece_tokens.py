@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from indicata.llm import piece_tokens as P
 
 FOLDER = "/root/testdata/sf0.01"
 PIECES = P.Pieces.load()
+SCORES = {int(np.frombuffer(i, np.int32)[0]): s for s, i in PIECES.tails.values() if s is not None}
 
 
 def best_score(word):
@@ -17,7 +19,7 @@ def best_score(word):
     for end in range(1, len(word) + 1):
         ways = [best[end - 1] + PIECES.unknown]
         for start in range(end):
-            score, _ = PIECES.tails.get(word[start:end], (None, -1))
+            score, _ = PIECES.tails.get(word[start:end], (None, b""))
             if score is not None:
                 ways.append(best[start] + score)
         best.append(max(ways))
@@ -25,11 +27,10 @@ def best_score(word):
 
 
 def score_of(ids):
-    scores = {i: s for s, i in PIECES.tails.values() if s is not None}
     total, spelled = 0.0, b""
     for i in ids:
-        if i in scores:
-            total += scores[i]
+        if i in SCORES:
+            total += SCORES[i]
         else:
             spelled += PIECES.raw[i]
     return total + PIECES.unknown * len(spelled.decode())
@@ -40,7 +41,8 @@ def test_scores_are_the_best(spark):
     words = sorted({"▁" + w for d in docs for w in (d.text or "").split()})
     random.seed(3)
     chosen = sorted([*random.sample(words, 1500), "▁", "▁▁▁x", "日本語", "▁naïve…", "🙂🙃"])
-    for word, ids in P.encode_sorted(chosen, PIECES):
+    for word, code in P.encode_sorted(chosen, PIECES):
+        ids = np.frombuffer(code, np.int32)
         assert b"".join(PIECES.raw[i] for i in ids).decode() == word.replace("▁", " ")
         assert abs(score_of(ids) - best_score(word)) < 1e-3, word
 
