@@ -102,12 +102,43 @@ def _words(marked: str, words_of: re.Pattern, alone: str) -> list[str]:
     return [w for w in marked.replace(MARK, f"\0{MARK}").split("\0") if w]
 
 
+def _step(word: str, end: int, best: list[float], pieces: Pieces) -> tuple[float, int, bytes]:
+    """The best score up to ``end``, where its last piece begins, and that piece's ids."""
+    tail = pieces.tails.get
+    start = end - 1
+    top, begin, code = best[start] + pieces.unknown, start, None
+    while start >= 0 and (found := tail(word[start:end])):
+        if found[0] is not None and (total := best[start] + found[0]) >= top:
+            top, begin, code = total, start, found[1]
+        start -= 1
+    return top, begin, pieces.spelled(word[begin:end]) if code is None else code
+
+
+def _encode_long(word: str, pieces: Pieces) -> bytes:
+    """The ids of one word, whose pieces are gathered from its end; linear in its length."""
+    best, last = [0.0], []
+    for end in range(1, len(word) + 1):
+        top, begin, code = _step(word, end, best, pieces)
+        best.append(top)
+        last.append((begin, code))
+    codes, end = [], len(word)
+    while end:
+        end, code = last[end - 1]
+        codes.append(code)
+    return b"".join(reversed(codes))
+
+
 def encode_sorted(words: Iterable[str], pieces: Pieces) -> Iterable[tuple[str, bytes]]:
-    """Each word with its best ids; words must be sorted, so that those with a common prefix are together."""
-    tail, unknown = pieces.tails.get, pieces.unknown
+    """Each word with its best ids; words must be sorted, so that those with a common prefix are together.
+
+    The stack keeps score and ids of each prefix. Words beyond ``LONG_WORD`` are searched by themselves.
+    """
     before = ""
-    best, codes = [0.0], [b""]  # the score and the ids of each prefix of the word
+    best, codes = [0.0], [b""]
     for word in words:
+        if len(word) > LONG_WORD:
+            yield word, _encode_long(word, pieces)
+            continue
         shared = 0
         for a, b in zip(before, word):
             if a != b:
@@ -115,14 +146,9 @@ def encode_sorted(words: Iterable[str], pieces: Pieces) -> Iterable[tuple[str, b
             shared += 1
         del best[shared + 1 :], codes[shared + 1 :]
         for end in range(shared + 1, len(word) + 1):
-            start = end - 1
-            top, begin, code = best[start] + unknown, start, None
-            while start >= 0 and (found := tail(word[start:end])):
-                if found[0] is not None and (total := best[start] + found[0]) >= top:
-                    top, begin, code = total, start, found[1]
-                start -= 1
+            top, begin, code = _step(word, end, best, pieces)
             best.append(top)
-            codes.append(codes[begin] + (pieces.spelled(word[begin:end]) if code is None else code))
+            codes.append(codes[begin] + code)
         yield word, codes[-1]
         before = word
 
