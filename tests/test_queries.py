@@ -4,9 +4,11 @@ import __spark_entry__ as entry_module
 import compare
 import pytest
 
+from indicata.plans import star_oracles, star_queries
+
 FOLDER = "/root/testdata/sf0.01"
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = star_queries.QUERIES
+SQL = star_oracles.oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -20,6 +22,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_only_model_fitting_has_no_sql():
+    assert set(QUERIES) <= set(entry_module.queries())
     assert set(QUERIES) - set(SQL) == {"elastic_net_metrics", "elastic_net_predictions"}
 
 
