@@ -24,12 +24,12 @@ def summary(obs: DataFrame, columns: list[str], value: str = "VALUE") -> DataFra
     """One row per distinct ``columns`` that stands for all its rows in every total and mean.
 
     A job takes a summary in place of the observations when it filters and groups by ``columns``
-    only. Several jobs over one table then share one scan of it. The value must be whole numbers, as
-    jobs that truncate values could not truncate those already summed.
+    only. Several jobs over one table then share one scan of it. The value must be whole numbers of int
+    range, as jobs that truncate values to it could not truncate those already summed.
     """
     kind = obs.schema[value].dataType.typeName()
-    if kind not in ("byte", "short", "integer", "long"):
-        raise TypeError(f"only whole values can be summarised, {value} is {kind}")
+    if kind not in ("byte", "short", "integer"):
+        raise TypeError(f"only whole values up to int can be summarised, {value} is {kind}")
     return obs.groupBy(*[F.col(f"`{column}`") for column in columns]).agg(
         F.sum(value).alias(SUM), F.count(value).alias(COUNT)
     )

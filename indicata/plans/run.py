@@ -29,17 +29,21 @@ from indicata.sources.manifest import read_manifest, run_manifest
 
 @dataclass(frozen=True)
 class Job:
-    """One result: its inputs (observation subjects, files or earlier results) and how to build it."""
+    """One result: its inputs (observation subjects, files or earlier results) and how to build it.
+
+    ``single_file`` exports it as one sorted CSV file, which suits reports but not row-level results.
+    """
 
     name: str
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     sort_by: str | None = None
     exported: bool = field(default=True)
+    single_file: bool = field(default=True)
 
 
 JOBS = (
-    Job("covid_cases", ("covid",), jobs.covid_cases),
+    Job("covid_cases", ("covid",), jobs.covid_cases, single_file=False),
     Job("provincial_cases", ("covid_cases",), jobs.provincial_cases, "Week Number"),
     Job("GDP_output", ("gdp",), jobs.gdp_output, "REF_DATE"),
     Job("MT_output", ("merchandise_trade",), jobs.trade_output, "YEAR"),
@@ -77,9 +81,6 @@ JOBS = (
 )
 
 
-# results of up to this many rows are exported as one CSV file, larger ones as many
-SINGLE_FILE_ROWS = 500_000
-
 # observation tables several jobs total or average, and the columns those jobs look at
 SUMMARISED = {
     "gdp": ["REF_DATE", "GEO", "Seasonal adjustment", "Prices", V.NAICS],
@@ -203,7 +204,7 @@ def run(
                 f"{output}/csv/{job.name}",
                 fmt="csv",
                 sort_by=job.sort_by,
-                single_file=kept.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS,
+                single_file=job.single_file,
             )
         done.append((job.name, "Successful"))
     return spark.createDataFrame(done, "job string, status string")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
@@ -11,6 +9,7 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -27,8 +26,8 @@ def spark_session(app: str = "indicata", master: str | None = None, **settings:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session that
-    names none gets a folder of its own.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. A local session that names
+    none persists the rows instead, which keeps the lineage.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -37,6 +36,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
         if not folder:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="indicata-checkpoint-")
+            return df.persist()
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -12,12 +12,12 @@ from indicata.sources.tables import path_exists
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Read a manifest as ``title``, ``table_id``; blank lines are skipped."""
+    """Read a manifest as ``title``, ``table_id``; blank lines are skipped, a line without id has a null one."""
     parts = F.split("value", ":")
     return (
         spark.read.text(path)
         .where(F.trim("value") != "")
-        .select(F.trim(parts[0]).alias("title"), F.trim(parts[1]).alias("table_id"))
+        .select(F.trim(F.get(parts, F.lit(0))).alias("title"), F.trim(F.get(parts, F.lit(1))).alias("table_id"))
     )
 
 
@@ -33,8 +33,11 @@ def run_manifest(
     """
     spark = manifest.sparkSession
     statuses = []
-    for row in manifest.select("table_id").toLocalIterator():
+    for row in manifest.select("title", "table_id").toLocalIterator():
         identifier = row["table_id"]
+        if not identifier:
+            statuses.append((identifier, f"No table id: {row['title']}"))
+            continue
         if output_path is not None and path_exists(spark, output_path(identifier)):
             statuses.append((identifier, "Skipped"))
             continue

@@ -394,9 +394,9 @@ def cases_eav(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def country_series(spark: SparkSession, folder: str) -> DataFrame:
-    """Yearly order value per country, one row per country and year."""
+    """Yearly order value per series, one row per series and year; every nation adds to one of them."""
     customers = table(spark, folder, "customer").select(
-        "c_custkey", F.try_element_at(F.lit(COUNTRIES), F.col("c_nationkey") + 1).alias("series")
+        "c_custkey", F.try_element_at(F.lit(COUNTRIES), F.col("c_nationkey") % len(COUNTRIES) + 1).alias("series")
     )
     orders = table(spark, folder, "orders").select(
         "o_custkey",

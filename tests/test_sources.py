@@ -307,3 +307,13 @@ def test_gdp_can_be_narrowed_to_one_price_basis(spark, inputs):
     gdp, hours, retail = (run.read_input(spark, inputs, name) for name in ("gdp", "hours", "retail"))
     assert jobs.monthly_productivity(gdp, hours, gdp_where={"Prices": "other"}).count() == 0
     assert jobs.retail_trade_output(gdp, retail, {"Prices": "p"}).count() == 11
+
+
+def test_bad_manifest_lines_are_reported(spark, folder):
+    with open(f"{folder}/list.txt", "w") as handle:
+        handle.write("Good :1\nno id here\nEmpty :\n")
+    ran = []
+    listed = manifest.read_manifest(spark, f"{folder}/list.txt")
+    statuses = manifest.run_manifest(listed, ran.append).collect()
+    assert ran == ["1"]
+    assert [row["status"] for row in statuses] == ["Successful", "No table id: no id here", "No table id: Empty"]
