@@ -12,8 +12,13 @@ document whose others are all unique needs no candidates at all; that removes al
 pair is a candidate when it shares as many prefix shingles as sizes and prefix lengths imply, less what
 was left out, and is then verified on whole sets.
 
-A document that is still costly gets a prefix of its whole set, with all but the least similarity's share
-left out, and costs counted among such documents only.
+For a document that is still costly, costs are counted anew among such documents only, over its whole set,
+and its ``s`` shingles that occur elsewhere are put in the order of their cost, the same order for all. A pair
+that links shares ``o`` or more of them, so of the first ``s - o + l`` of each it shares at least ``l``. How many
+matches ``l`` a document asks for, and by how much its prefix is lengthened, follows from the number of
+candidates its prefix is estimated to bring: one more for every tenfold. A pair takes the smaller ``l`` of its
+two, and ``o`` from its two sizes. Shingles that only one document has count against it this way, so that
+heavily edited copies, which share much but too little, meet in few rows or none.
 
 Components, not all links, are the result, so links inside a component are not sought twice: each
 document is first verified against a few that come first for most of its shingles, and then only pairs of different components are formed, from the smaller component to the larger. A group of any number of near copies costs a number of pairs that follows its size.
@@ -44,6 +49,8 @@ PERCENT = 75
 LONGER = 24
 #: How often documents are linked to a first one each, before all other pairs are formed.
 STARS = 3
+#: Candidates that a prefix may bring in before it is lengthened; tenfold asks for one more match.
+EXPECTED = 100
 
 
 def base_length(n: int | np.ndarray, percent: int = PERCENT):
@@ -139,13 +146,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(similar).select("a", "b").distinct()
 
 
-def _required(percent: int) -> Column:
-    """Shared prefix shingles that a pair must have besides those that ``a`` left out."""
-    overlap = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
-    shared = F.least(F.col("p_a") - F.col("n_a") + overlap, F.col("p_b") - F.col("n_b") + overlap)
-    return shared - F.col("out_a")
-
-
 def _lively(docs: DataFrame, profiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The representatives that can have links: ``doc``, ``n``, ``p``, ``out``, ``asked``, ``tokens``.
 
@@ -168,15 +168,21 @@ def _lively(docs: DataFrame, profiles: DataFrame, classes: DataFrame, percent: i
 
 
 def _lengthened(sets: DataFrame, percent: int) -> DataFrame:
-    """As ``_lively``, with prefixes as long as the sets and costs counted among these documents only."""
+    """The documents of ``sets`` that can have links: ``doc``, ``n``, ``asked``, ``extra``, ``tokens``.
+
+    ``tokens`` are the shingles that occur in other sets, the cheapest first; at least one of the first
+    ``asked`` is shared with any partner, and ``extra`` more of the first ``asked + extra``.
+    """
     rows = sets.select("doc", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
     cost = rows.groupBy("token").agg(F.count(F.lit(1)).alias("cost")).where("cost > 1")
     by_cost = F.sort_array(F.collect_list(F.struct(F.col("cost").cast("int").alias("cost"), "token")))
-    tokens = F.transform(by_cost, lambda c: c["token"]).alias("tokens")
-    common = rows.join(cost, "token").groupBy("doc", "n").agg(tokens)
-    out = (F.ceil(F.col("n") * percent / 100) - 1).cast("int")
-    found = common.select("doc", "n", F.col("n").alias("p"), out.alias("out"), (F.size("tokens") - out).alias("asked"), "tokens")
-    return C.cut(found.where("asked > 0"))
+    common = rows.join(cost, "token").groupBy("doc", "n").agg(by_cost.alias("by_cost"))
+    least = F.ceil(F.col("n") * percent / 100).cast("int")
+    found = common.withColumn("asked", F.size("by_cost") - least + 1).where("asked > 0")
+    # what the prefix brings in at most
+    brought = F.aggregate(F.slice("by_cost", F.lit(1), F.col("asked")), F.lit(1).cast("long"), lambda x, c: x + c["cost"])
+    extra = F.greatest(F.floor(F.log10(brought / EXPECTED)), F.lit(0)).cast("int")
+    return C.cut(found.select("doc", "n", "asked", extra.alias("extra"), F.col("by_cost.token").alias("tokens")))
 
 
 def _placed(postings: DataFrame, grouped: DataFrame | None) -> DataFrame:
@@ -218,33 +224,29 @@ def link(df: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str =
     # what is still costly gets prefixes of its whole set, among what else is left; twice, as that thins it
     for _ in range(2):
         lively = _lengthened(sets.join(lively.select("doc"), "doc", "left_semi"), percent)
-    postings = lively.select("doc", "n", "p", "out", "asked", F.posexplode("tokens").alias("at", "token"))
-    postings = postings.select("doc", "n", "p", "out", "token", (F.col("at") < F.col("asked")).alias("asks"))
+    postings = lively.select("doc", "n", F.size("tokens").alias("s"), "asked", "extra", F.posexplode("tokens").alias("at", "token"))
 
     # first links: each document with one that has most of its shingles; three choices, as one may fail
     links = grouped = None
     for turn in range(STARS):
-        more = _verified(_stars(_placed(postings, grouped), turn), sets, percent)
+        more = _verified(_stars(_placed(postings.select("doc", "token"), grouped), turn), sets, percent)
         links = C.cut(more if links is None else links.unionByName(more))
         grouped = components(links)
 
     # then pairs of different components only, from the smaller component to the larger
-    placed = _placed(postings, grouped)
+    placed = _placed(postings.where("at < asked + extra").drop("asked"), grouped)
     extremes = placed.groupBy("token").agg(F.min("side").alias("low"), F.max("side").alias("high"))
     open_ = placed.join(extremes.where("low <> high").drop("low"), "token")
-    left = open_.where("asks AND side <> high").select(
-        "token", *[F.col(c).alias(f"{c}_a") for c in ("doc", "n", "p", "out", "side")]
-    )
-    right = open_.select("token", *[F.col(c).alias(f"{c}_b") for c in ("doc", "n", "p", "side")])
-    fits = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    met = left.join(right, "token").where((F.col("side_a") < F.col("side_b")) & fits)
-    met = met.groupBy("doc_a", "doc_b").agg(
-        F.count(F.lit(1)).alias("shared"),
-        *[F.max(c).alias(c) for c in ("n_a", "p_a", "out_a", "n_b", "p_b")],
-    )
-    candidates = met.where(F.col("shared") >= _required(percent)).select(
-        F.col("doc_a").alias("a"), F.col("doc_b").alias("b")
-    )
+    sides = ("doc", "n", "s", "extra", "at", "side")
+    left = open_.where("side <> high").select("token", *[F.col(c).alias(f"{c}_a") for c in sides])
+    right = open_.select("token", *[F.col(c).alias(f"{c}_b") for c in sides])
+    needed = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+    matches = F.least(F.col("extra_a") + 1, F.col("extra_b") + 1, needed)
+    within = [F.col(f"at_{x}") < F.col(f"s_{x}") - needed + matches for x in "ab"]
+    met = left.join(right, "token").where((F.col("side_a") < F.col("side_b")) & within[0] & within[1])
+    met = met.select("doc_a", "doc_b", matches.alias("matches")).groupBy("doc_a", "doc_b")
+    met = met.agg(F.count(F.lit(1)).alias("shared"), F.max("matches").alias("matches"))
+    candidates = met.where("shared >= matches").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
     links = links.unionByName(_verified(candidates, sets, percent))
     grouped = components(links)
     members = classes.join(grouped, F.col("doc") == F.col("node"), "left").select(
