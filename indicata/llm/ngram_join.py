@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.llm import common as C
@@ -49,6 +49,8 @@ PERCENT = 75
 LONGER = 24
 #: How often documents are linked to a first one each, before all other pairs are formed.
 STARS = 3
+#: Shingles by which a document finds the first one; what this misses is found as a pair.
+LOOKED = 64
 #: Candidates that a prefix may bring in before it is lengthened; tenfold asks for one more match.
 EXPECTED = 100
 
@@ -81,7 +83,7 @@ def shingles(words: list[list[bytes]], cache: C.WordHash) -> Iterator[tuple[np.n
             yield np.zeros(0, np.uint64), key
 
 
-PROFILE = "doc_id bigint, key binary, n int, p int"
+PROFILE = "doc_id bigint, key binary, n int"
 SPREAD = "doc bigint, prefix array<bigint>"
 
 
@@ -107,19 +109,11 @@ def _prefix(n: int, percent: int) -> int:
     return min(n, base_length(n, percent) + LONGER + n // 12) if n else 0
 
 
-def _profiles(percent: int):
-    def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, found in _read(batches):
-            counts = [len(own) for own, _ in found]
-            columns = [
-                ids,
-                pa.array([key for _, key in found], pa.binary()),
-                pa.array(counts, pa.int32()),
-                pa.array([_prefix(n, percent) for n in counts], pa.int32()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n", "p"])
-
-    return profiles
+def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for ids, found in _read(batches):
+        keys = pa.array([key for _, key in found], pa.binary())
+        sizes = pa.array([len(own) for own, _ in found], pa.int32())
+        yield pa.RecordBatch.from_arrays([ids, keys, sizes], names=["doc_id", "key", "n"])
 
 
 def _prefixes(percent: int):
@@ -146,25 +140,26 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(similar).select("a", "b").distinct()
 
 
-def _lively(docs: DataFrame, profiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The representatives that can have links: ``doc``, ``n``, ``p``, ``out``, ``asked``, ``tokens``.
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows whose ``token`` others have too, with ``cost``, their number; one shuffle."""
+    held = F.count(F.lit(1)).over(Window.partitionBy("token")).cast("int")
+    return rows.withColumn("cost", held).where("cost > 1")
+
+
+def _lively(docs: DataFrame, known: DataFrame, representatives: DataFrame, percent: int) -> DataFrame:
+    """The representatives that can have links: ``doc`` and ``n``.
 
-    ``tokens`` are the prefix shingles that occur elsewhere, the cheapest first, and the first ``asked`` of
-    them are looked up. Texts are read for this twice, once for the costs, which is cheaper than keeping
-    all prefixes.
+    Copies are left out of the counts but for the few that the Bloom filter lets pass. A document whose prefix
+    has no more shared shingles than it may leave out has no candidates.
     """
-    named = docs.where("doc_id IS NOT NULL")
-    spread = named.mapInArrow(_prefixes(percent), SPREAD).select("doc", F.explode("prefix").alias("token"))
-    # how many documents each prefix shingle brings in; those of one document bring in nothing
-    cost = spread.groupBy("token").agg(F.count(F.lit(1)).alias("cost")).where("cost > 1")
-    by_cost = F.sort_array(F.collect_list(F.struct(F.col("cost").cast("int").alias("cost"), "token")))
-    common = spread.join(cost, "token").groupBy("doc").agg(F.transform(by_cost, lambda c: c["token"]).alias("tokens"))
-    known = profiles.where("doc_id IS NOT NULL AND n > 0").join(classes, "key").where("doc = doc_id")
-    sizes = known.select("doc", "n", "p", _left_out(F.col("n"), percent).alias("out")).dropDuplicates(["doc"])
-    # the cheapest p - out shingles are looked up; unique ones come first and find nothing
-    asked = (F.size("tokens") - F.col("out")).alias("asked")
-    lively = sizes.join(common, "doc").select("doc", "n", "p", "out", asked, "tokens")
-    return C.cut(lively.where("asked > 0"))
+    some = possible(docs.where("doc_id IS NOT NULL"), "doc_id", representatives, "doc")
+    spread = some.select("doc_id", "text").mapInArrow(_prefixes(percent), SPREAD)
+    shared = _shared(spread.select("doc", F.explode("prefix").alias("token")))
+    common = shared.groupBy("doc").agg(F.count(F.lit(1)).alias("common"))
+    sizes = known.join(representatives, F.col("doc_id") == F.col("doc")).groupBy("doc").agg(F.min("n").alias("n"))
+    # rows that share an id are one node, whose smallest size leaves out least
+    found = sizes.join(common, "doc").where(F.col("common") > _left_out(F.col("n"), percent))
+    return C.cut(found.select("doc", "n"))
 
 
 def _lengthened(sets: DataFrame, percent: int) -> DataFrame:
@@ -173,10 +168,10 @@ def _lengthened(sets: DataFrame, percent: int) -> DataFrame:
     ``tokens`` are the shingles that occur in other sets, the cheapest first; at least one of the first
     ``asked`` is shared with any partner, and ``extra`` more of the first ``asked + extra``.
     """
-    rows = sets.select("doc", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
-    cost = rows.groupBy("token").agg(F.count(F.lit(1)).alias("cost")).where("cost > 1")
-    by_cost = F.sort_array(F.collect_list(F.struct(F.col("cost").cast("int").alias("cost"), "token")))
-    common = rows.join(cost, "token").groupBy("doc", "n").agg(by_cost.alias("by_cost"))
+    size = F.size("shingles").alias("n")
+    shared = _shared(sets.select("doc", size, F.explode("shingles").alias("token")))
+    by_cost = F.sort_array(F.collect_list(F.struct("cost", "token"))).alias("by_cost")
+    common = shared.groupBy("doc", "n").agg(by_cost)
     least = F.ceil(F.col("n") * percent / 100).cast("int")
     found = common.withColumn("asked", F.size("by_cost") - least + 1).where("asked > 0")
     # what the prefix brings in at most
@@ -209,27 +204,29 @@ def _stars(placed: DataFrame, turn: int) -> DataFrame:
 def link(df: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of each row.
 
-    The text is read four times, the last time only of documents that have candidates.
+    The text is read three times, the last time only of documents that have candidates.
     """
     docs = df.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    profiles = C.cut(docs.mapInArrow(_profiles(percent), PROFILE))
+    profiles = C.cut(docs.mapInArrow(_profiles, PROFILE))
     known = profiles.where("doc_id IS NOT NULL AND n > 0")
     classes = C.cut(known.groupBy("key").agg(F.min("doc_id").alias("doc")))
-    lively = _lively(docs, profiles, classes, percent)
+    lively = _lively(docs, known, classes.select("doc").distinct(), percent)
     # texts of the documents that can have links at all
     some = possible(docs, "doc_id", lively, "doc")
     own = some.join(lively.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
     sets = C.cut(own.select("doc_id", "text").mapInArrow(_sets, "doc bigint, shingles array<bigint>"))
 
-    # what is still costly gets prefixes of its whole set, among what else is left; twice, as that thins it
-    for _ in range(2):
-        lively = _lengthened(sets.join(lively.select("doc"), "doc", "left_semi"), percent)
+    # what is still costly gets prefixes of its whole set, among what else is left
+    lively = _lengthened(sets, percent)
     postings = lively.select("doc", "n", F.size("tokens").alias("s"), "asked", "extra", F.posexplode("tokens").alias("at", "token"))
 
     # first links: each document with one that has most of its shingles; three choices, as one may fail
+    # about LOOKED shingles of each, the same of like documents, are enough to find one
+    looked = F.pmod("token", F.lit(1 << 20)) * F.col("n") < LOOKED << 20
+    thin = postings.where(looked).select("doc", "token")
     links = grouped = None
     for turn in range(STARS):
-        more = _verified(_stars(_placed(postings.select("doc", "token"), grouped), turn), sets, percent)
+        more = _verified(_stars(_placed(thin, grouped), turn), sets, percent)
         links = C.cut(more if links is None else links.unionByName(more))
         grouped = components(links)
 
