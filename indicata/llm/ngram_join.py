@@ -16,7 +16,7 @@ For a document that is still costly, costs are counted anew among such documents
 and its ``s`` shingles that occur elsewhere are put in the order of their cost, the same order for all. A pair
 that links shares ``o`` or more of them, so of the first ``s - o + l`` of each it shares at least ``l``. How many
 matches ``l`` a document asks for, and by how much its prefix is lengthened, follows from the number of
-candidates its prefix is estimated to bring: one more for every tenfold. A pair takes the smaller ``l`` of its
+candidates its prefix is estimated to bring: one more for every tenfold, while further shingles are cheap. A pair takes the smaller ``l`` of its
 two, and ``o`` from its two sizes. Shingles that only one document has count against it this way, so that
 heavily edited copies, which share much but too little, meet in few rows or none.
 
@@ -51,7 +51,8 @@ LONGER = 24
 STARS = 3
 #: Shingles by which a document finds the first one; what this misses is found as a pair.
 LOOKED = 64
-#: Candidates that a prefix may bring in before it is lengthened; tenfold asks for one more match.
+#: Candidates that a prefix may bring in before it is lengthened, where tenfold asks for one more match, and the
+#: most that a shingle may bring in by which it is lengthened: a dearer one costs more rows than it saves.
 EXPECTED = 100
 
 
@@ -176,7 +177,9 @@ def _lengthened(sets: DataFrame, percent: int) -> DataFrame:
     found = common.withColumn("asked", F.size("by_cost") - least + 1).where("asked > 0")
     # what the prefix brings in at most
     brought = F.aggregate(F.slice("by_cost", F.lit(1), F.col("asked")), F.lit(1).cast("long"), lambda x, c: x + c["cost"])
-    extra = F.greatest(F.floor(F.log10(brought / EXPECTED)), F.lit(0)).cast("int")
+    more = F.greatest(F.floor(F.log10(brought / EXPECTED)), F.lit(0)).cast("int")
+    cheap = F.size(F.filter("by_cost", lambda c: c["cost"] <= EXPECTED)) - F.col("asked")
+    extra = F.greatest(F.least(more, cheap), F.lit(0))
     return C.cut(found.select("doc", "n", "asked", extra.alias("extra"), F.col("by_cost.token").alias("tokens")))
 
 
