@@ -16,12 +16,14 @@ For a document that is still costly, costs are counted anew among such documents
 and its ``s`` shingles that occur elsewhere are put in the order of their cost, the same order for all. A pair
 that links shares ``o`` or more of them, so of the first ``s - o + l`` of each it shares at least ``l``. How many
 matches ``l`` a document asks for, and by how much its prefix is lengthened, follows from the number of
-candidates its prefix is estimated to bring: one more for every tenfold, while further shingles are cheap. A pair takes the smaller ``l`` of its
-two, and ``o`` from its two sizes. Shingles that only one document has count against it this way, so that
+candidates its prefix is estimated to bring: one more for every tenfold, while further shingles are cheap. A
+pair takes the smaller ``l`` of its two, and ``o`` from its two sizes. Shingles that only one document has count against it this way, so that
 heavily edited copies, which share much but too little, meet in few rows or none.
 
 Components, not all links, are the result, so links inside a component are not sought twice: each
-document is first verified against a few that come first for most of its shingles, and then only pairs of different components are formed, from the smaller component to the larger. A group of any number of near copies costs a number of pairs that follows its size.
+document is first verified against a few that come first for most of its shingles, and then only pairs of different
+components are formed, from the smaller component to the larger. A group of any number of near copies costs a
+number of pairs that follows its size.
 
 Rows that share an id are one node. Null ids take part in nothing and get a null component; null, empty and
 white-space texts have no shingles and link with nothing. Extra columns are ignored; an empty table gives no
@@ -221,7 +223,8 @@ def link(df: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str =
 
     # what is still costly gets prefixes of its whole set, among what else is left
     lively = _lengthened(sets, percent)
-    postings = lively.select("doc", "n", F.size("tokens").alias("s"), "asked", "extra", F.posexplode("tokens").alias("at", "token"))
+    held = F.size("tokens").alias("s")
+    postings = lively.select("doc", "n", held, "asked", "extra", F.posexplode("tokens").alias("at", "token"))
 
     # first links: each document with one that has most of its shingles; three choices, as one may fail
     # about LOOKED shingles of each, the same of like documents, are enough to find one
