@@ -8,17 +8,16 @@ share one, and of the first ``p + e`` they share ``e + 1`` (the lengthened, mult
 A prefix is lengthened by what its shingles cost, measured as the documents a shingle brings in: with
 ``e`` more shingles, and ``e + 1`` shared ones required, a document may leave out its ``e`` commonest prefix
 shingles and still meets every partner in one of the others. A shingle that occurs once costs nothing, so a
-document whose others are all unique needs no candidates at all; that removes all but near copies. A
-pair is a candidate when it shares as many prefix shingles as sizes and prefix lengths imply, less what
-was left out, and is then verified on whole sets.
+document whose others are all unique needs no candidates at all; that removes all but near copies.
 
 For a document that is still costly, costs are counted anew among such documents only, over its whole set,
 and its ``s`` shingles that occur elsewhere are put in the order of their cost, the same order for all. A pair
 that links shares ``o`` or more of them, so of the first ``s - o + l`` of each it shares at least ``l``. How many
 matches ``l`` a document asks for, and by how much its prefix is lengthened, follows from the number of
 candidates its prefix is estimated to bring: one more for every tenfold, while further shingles are cheap. A
-pair takes the smaller ``l`` of its two, and ``o`` from its two sizes. Shingles that only one document has count against it this way, so that
-heavily edited copies, which share much but too little, meet in few rows or none.
+pair takes the smaller ``l`` of its two, and ``o`` from its two sizes, and is verified on whole sets if it
+shares that many. Shingles that only one document has count against it this way, so that heavily edited
+copies, which share much but too little, meet in few rows or none.
 
 Components, not all links, are the result, so links inside a component are not sought twice: each
 document is first verified against a few that come first for most of its shingles, and then only pairs of different
