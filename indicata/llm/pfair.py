@@ -5,23 +5,29 @@ A source's rows are shuffled by a seeded hash and cut into blocks. Of a source w
 block with the earliest deadline, which meets every deadline on one stream, so at each slot the number of
 blocks taken from a source differs from w times the slots by less than one.
 
-Weights are whole shares of a period, so the schedule repeats after each period. Only one period is
-scheduled on the driver, a table bounded by the period, and rows find their slot by arithmetic. When a
-source runs out, a new phase begins in which the others share its weight in proportion; no row is
-dropped or repeated, and there are at most as many phases as sources.
+Weights are taken as the exact ratios that their floats are, so nothing is rounded and no error adds up. The
+schedule does not repeat. The driver runs through it once, a step for each block, and keeps only how many
+blocks each source has given at the start of each piece; tasks run through the pieces again to list their
+blocks. When a source runs out, a new phase begins in which the others share its weight in proportion; no row
+is dropped or repeated, and there are at most as many phases as sources. Weights and windows hold within a
+phase.
 
 A null source is a source of its own; null ids and texts are values like others; repeated rows are rows of
 their own whose places are interchangeable; an empty table gives no rows. Columns of the input stay; an
 output column whose name is taken gets a leading underscore. Weights of sources that have no rows are left
-out; a source without a given weight is refused.
+out; a source without a given weight is refused. A deadline beyond a long is given as the largest long.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from fractions import Fraction
+from itertools import count
+from math import gcd, lcm
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.llm import common as C
@@ -29,63 +35,93 @@ from indicata.llm import common as C
 BLOCK_ROWS = 64
 PERIOD = 1000
 SEED = 77
-#: The schedule's tables have at most this many sources, so they may be broadcast.
+#: The driver holds one number per source and piece of the schedule.
 MAX_SOURCES = 1000
+#: A piece has at least this many slots per source, so that pieces stay small beside the blocks.
+SLOTS_PER_SOURCE = 64
+LAST = (1 << 63) - 1
 
 
-def shares(weights: Mapping[str, float], period: int) -> dict[str, int]:
-    """Whole shares of ``period`` nearest to the weights, at least one each, by largest remainder."""
-    if not weights:
-        return {}
-    period = max(period, len(weights))
-    total = sum(weights.values())
-    exact = {k: w * (period - len(weights)) / total for k, w in weights.items()}
-    found = {k: int(x) + 1 for k, x in exact.items()}
-    left = period - sum(found.values())
-    for k in sorted(weights, key=lambda k: (int(exact[k]) - exact[k], k))[:left]:
-        found[k] += 1
-    return found
-
-
-def one_period(share: Mapping[str, int]) -> dict[str, list[int]]:
-    """The slots of each source's blocks within a period, earliest deadline first."""
-    period = sum(share.values())
-    waiting = [(0, k, 0) for k in share]  # (release, source, block)
+def shares(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    scale = lcm(*[x.denominator for x in exact.values()])
+    whole = {k: int(x * scale) for k, x in exact.items()}
+    common = gcd(*whole.values())
+    return {k: x // common for k, x in whole.items()}
+
+
+def turns(share: Mapping[str, int], taken: Mapping[str, int], begin: int) -> Iterator[tuple[str, int, int, int]]:
+    """(source, block, release, deadline) of each slot of a phase from ``begin`` on, earliest deadline first.
+
+    ``taken`` has the number of blocks that each source gave before.
+    """
+    total = sum(share.values())
+    waiting = [(j * total // share[k], k, j) for k, j in taken.items()]  # (release, source, block)
     heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []  # (deadline, source, block)
-    slots: dict[str, list[int]] = {k: [] for k in share}
-    for slot in range(period):
+    ready: list[tuple[int, str, int, int]] = []  # (deadline, source, block, release)
+    for slot in count(begin):
         while waiting and waiting[0][0] <= slot:
-            _, k, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * period // share[k]), k, j))
-        _, k, j = heapq.heappop(ready)
-        slots[k].append(slot)
-        if j + 1 < share[k]:
-            heapq.heappush(waiting, ((j + 1) * period // share[k], k, j + 1))
-    return slots
+            release, k, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * total // share[k]), k, j, release))
+        deadline, k, j, release = heapq.heappop(ready)
+        yield k, j, release, deadline
+        heapq.heappush(waiting, ((j + 1) * total // share[k], k, j + 1))
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[tuple]:
-    """Rows (source, first block, blocks, share, period, first slot, slots of a period) of all phases."""
+def pieces(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> Iterator[tuple]:
+    """(phase's first slot, first and last slot in the phase, shares, blocks before the phase, blocks taken in it).
+
+    A piece has ``period`` slots or more; the last three have a number for each source left.
+    """
     left = {k: n for k, n in blocks.items() if n > 0}
     begun = dict.fromkeys(left, 0)
-    start, rows = 0, []
+    start = 0
     while left:
-        share = shares({k: weights[k] for k in left}, period)
-        span = sum(share.values())
-        slots = one_period(share)
-        last = {k: (n - 1) // share[k] * span + slots[k][(n - 1) % share[k]] for k, n in left.items()}
-        length = min(last.values()) + 1
-        for k in sorted(left):
-            whole, rest = divmod(length, span)
-            used = whole * share[k] + sum(s < rest for s in slots[k])
-            if used:
-                rows.append((k, begun[k], used, share[k], span, start, slots[k]))
-            begun[k] += used
-            left[k] -= used
-        left = {k: n for k, n in left.items() if n}
-        start += length
-    return rows
+        share = shares({k: weights[k] for k in left})
+        first = {k: begun[k] for k in left}
+        taken = dict.fromkeys(left, 0)
+        step = max(period, SLOTS_PER_SOURCE * len(left))
+        begin, before = 0, dict(taken)
+        for slot, (k, *_) in enumerate(turns(share, taken, 0)):
+            if slot == begin + step:
+                yield start, begin, slot - 1, share, first, before
+                begin, before = slot, dict(taken)
+            taken[k] += 1
+            if taken[k] == left[k]:
+                break
+        yield start, begin, slot, share, first, before
+        start += slot + 1
+        for k, n in taken.items():
+            begun[k] += n
+        left = {k: n - taken[k] for k, n in left.items() if n > taken[k]}
+
+
+def listed(start: int, begin: int, end: int, share: dict, first: dict, before: dict) -> Iterator[tuple]:
+    """(source, block, slot, release, deadline) of each block of a piece."""
+    for slot, (k, j, release, deadline) in zip(range(begin, end + 1), turns(share, before, begin)):
+        yield k, first[k] + j, start + slot, start + release, min(start + deadline, LAST)
+
+
+def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[tuple]:
+    """Rows (source, first block, blocks, share, sum of shares, first slot, slots) of all phases, in one place."""
+    slots: dict[tuple[int, str], list[int]] = {}
+    about = {}
+    for piece in pieces(blocks, weights, period):
+        start, _, _, share, first, _ = piece
+        for k, _, slot, _, _ in listed(*piece):
+            slots.setdefault((start, k), []).append(slot - start)
+            about[start, k] = (first[k], share[k], sum(share.values()))
+    return [(k, about[s, k][0], len(x), *about[s, k][1:], s, x) for (s, k), x in sorted(slots.items())]
+
+
+def _schedule(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The blocks of pieces."""
+    for batch in batches:
+        for start, begin, end, names, share, first, before in batch.itertuples(index=False):
+            state = [dict(zip(names, map(int, x))) for x in (share, first, before)]
+            found = list(listed(start, begin, end, *state))
+            yield pd.DataFrame(found, columns=["source", "block", "slot", "release", "deadline"])
 
 
 def tempered(counts: Mapping[str, int], exponent: float = 0.5) -> dict[str, float]:
@@ -125,30 +161,39 @@ def mix(
         if missing := [k for k in counts if not given.get(k, 0) > 0]:
             raise ValueError(f"no positive weight for {len(missing)} sources")
         weigh = {k: given[k] for k in counts}
-    table = phases({k: -(-n // block_rows) for k, n in counts.items()}, weigh, period)
-    by_source: dict[str, list[tuple]] = {}
-    for name, *phase in table:
-        by_source.setdefault(name, []).append(tuple(phase))
+    table = pieces({k: -(-n // block_rows) for k, n in counts.items()}, weigh, period)
     plan = spark.createDataFrame(
-        list(by_source.items()),
-        "source string, phases array<struct<begin:long,blocks:long,share:long,span:long,slot:long,slots:array<int>>>",
+        [
+            (start, begin, end, list(share), [str(x) for x in share.values()], list(first.values()), list(before.values()))
+            for start, begin, end, share, first, before in table
+        ],
+        "start long, begin long, end long, names array<string>, share array<string>, first array<long>, before array<long>",
     )
+    blocks = plan.mapInPandas(_schedule, "source string, block long, slot long, release long, deadline long")
     bits = C.buckets_for(sum(counts.values())).bit_length() - 1
     rows = rows.withColumn("bucket", F.shiftrightunsigned("hash", 64 - bits))
-    ties = [F.col("hash"), *[F.col(f"row.`{k}`") for k in keys]]
-    ranked = C.rank_rows(rows, ["source"], "bucket", ties, "rank")
-    ranked = ranked.withColumn("block", F.expr(f"(rank - 1) div {block_rows}"))
-    placed = ranked.join(F.broadcast(plan), "source").withColumn(  # at most MAX_SOURCES rows
-        "p", F.expr("filter(phases, p -> block >= p.begin AND block < p.begin + p.blocks)[0]")
+    # buckets are small, so the blocks are brought to them and rows are dealt out once
+    group = ["source", "bucket"]
+    held = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("held"))
+    spans = held.join(C.running_before(held, ["source"], "bucket", "held", "earlier"), group).withColumn(
+        "block", F.explode(F.expr(f"sequence(earlier div {block_rows}, (earlier + held - 1) div {block_rows})"))
+    )
+    slots = spans.join(blocks, ["source", "block"]).groupBy(*group).agg(
+        F.first("earlier").alias("earlier"),
+        F.sort_array(F.collect_list(F.struct("block", "slot", "release", "deadline"))).alias("blocks"),
     )
-    placed = placed.withColumn("j", F.expr("block - p.begin"))
+    ties = [F.col("hash"), *[F.col(f"row.`{k}`") for k in keys]]
+    number = F.row_number().over(Window.partitionBy(*group).orderBy(*ties))
+    placed = rows.withColumn("number", number).join(slots, group)
+    placed = placed.withColumn("rank", F.expr("number + earlier - 1"))
+    placed = placed.withColumn("p", F.expr(f"blocks[int(rank div {block_rows} - blocks[0].block)]"))
     return placed.select(
         "row.*",
-        F.col("block").alias(names[0]),
-        F.expr("p.slot + (j div p.share) * p.span + p.slots[int(j % p.share)]").alias(names[1]),
-        F.expr(f"(rank - 1) % {block_rows}").alias(names[2]),
-        F.expr("p.slot + (j * p.span) div p.share").alias(names[3]),
-        F.expr("p.slot + ((j + 1) * p.span + p.share - 1) div p.share").alias(names[4]),
+        F.col("p.block").alias(names[0]),
+        F.col("p.slot").alias(names[1]),
+        F.expr(f"rank % {block_rows}").alias(names[2]),
+        F.col("p.release").alias(names[3]),
+        F.col("p.deadline").alias(names[4]),
     )
 
 

@@ -64,6 +64,28 @@ def test_schedule_stays_within_a_block():
                 assert abs(seen[name] - w * (t - start + 1)) < 1
 
 
+def test_schedule_keeps_to_the_given_weights():
+    many = {f"s{i:02}": 32.0 for i in range(19)} | {"most": 139.58}
+    for weights in (many, {"a": 0.9, "b": 0.05, "c": 0.05}, {"a": 1.0, "b": 1e-4, "c": 3**0.5}):
+        total = sum(map(Fraction, weights.values()))
+        exact = {k: Fraction(w) / total for k, w in weights.items()}
+        n = 30 * pfair.PERIOD
+        blocks = {k: int(w * n) + 2 for k, w in exact.items()}
+        taken, seen = {}, Counter()
+        for piece in pfair.pieces(blocks, weights):
+            for name, block, slot, release, deadline in pfair.listed(*piece):
+                assert release <= slot < deadline
+                taken[slot] = (name, block)
+        assert sorted(taken) == list(range(sum(blocks.values())))
+        for t in range(n):
+            name, block = taken[t]
+            assert block == seen[name]
+            seen[name] += 1
+            assert abs(seen[name] - exact[name] * (t + 1)) < 1
+            if t % 997 == 0:
+                assert all(abs(seen[k] - w * (t + 1)) < 1 for k, w in exact.items())
+
+
 def test_mixture_of_documents(spark):
     rows = pfair.op7_pfair_mixing(spark, FOLDER).collect()
     assert len(rows) == 1000 and len({r.doc_id for r in rows}) == 1000
