@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from indicata.llm import quality_rules
+from indicata.llm import pfair, quality_rules
 
 FOLDER = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -71,6 +71,27 @@ def test_stages(spark, folder):
     assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, coded), key=repr)
 
 
+def test_rows_have_their_place_in_the_mixture(spark, folder):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").drop("text").withColumn("text", F.lit("a b"))
+    schedule = [r.doc_id for r in pfair.mix(docs).orderBy("mix_slot", "mix_row").collect()]
+    mixed = corpus_pipeline.mixture(spark, docs.repartition(7), FOLDER)
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxRecordsPerFile": "97"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        mixed.write.parquet(f"{folder}/mixed")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    again = spark.read.parquet(f"{folder}/mixed")
+    coded = corpus_pipeline.tokens(spark, again, FOLDER).collect()
+    assert len(again.inputFiles()) > 4
+    assert sorted(r.mix_place for r in coded) == list(range(len(schedule)))
+    assert [r.doc_id for r in sorted(coded, key=lambda r: r.mix_place)] == schedule
+    assert schedule != sorted(schedule)
+
+
 def test_odd_documents(spark):
     schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
     for rows in ([], [(None, None, None, None, None), (1, "", "en", None, 0), (1, "a b", None, "s", 3)]):
