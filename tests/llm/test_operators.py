@@ -3,6 +3,8 @@
 import zlib
 from collections import Counter
 from fractions import Fraction
+from math import floor
+from random import Random
 
 import compare
 import pytest
@@ -167,6 +169,29 @@ def test_topk_edges(spark):
     assert topk_search.top_k(table.where("false"), F.col("vec_id") == 0).collect() == []
 
 
+def test_topk_takes_all_rows(spark):
+    random = Random(5)
+
+    def some(size, length=3):
+        return [random.randint(-size, size) / 64 for _ in range(length)]
+
+    rows = [(i, some(200)) for i in range(60)] + [(100 + i, some(10**6, 5)) for i in range(40)]
+    rows += [(200 + i, some(3 * 10**8)) for i in range(30)] + [(300 + i, some(3, 1)) for i in range(20)]
+    rows += [(400, []), (401, []), (405, [16384.0, 0.0, 1.0]), (405, [-20000.5, 1e5, 1.0]), (405, [1.0, 2.0, 3.0])]
+    rows += [(406, [float(2**25 + 1)] * 3), (407, [float(2**25 + 1), float(2**25 + 1), float(2**25 - 1)])]
+    rows += rows[40:70] * 2 + [rows[-1]] * 30
+    rows += [(500 + i, some(3, 1) + some(10**8, 5) + some(1, 1)) for i in range(9)] + [(510, [2.0**54] + [0.0] * 6), (511, [0.0] * 6 + [2.0**56])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, tuple(floor(64 * x) for x in v)) for i, v in rows]
+    expected = {}
+    for q, v in sorted({(i, v) for i, v in whole if i % 5 == 0}):
+        near = [(-sum(a * b for a, b in zip(v, w)), c) for c, w in whole if c != q and len(w) == len(v)]
+        expected.setdefault(q, []).extend(near)
+    expected = [(q, k + 1, c, -s) for q, near in expected.items() for k, (s, c) in enumerate(sorted(near)[:8])]
+    found = topk_search.top_k(table, F.col("vec_id") % 5 == 0, k=8, tile_queries=7, tile_vectors=16).collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
 def test_dedup_and_join_edges(spark):
     long = " ".join(f"w{i}" for i in range(40))
     near = long.replace("w39", "W39x")
