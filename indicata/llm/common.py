@@ -189,3 +189,10 @@ def unsigned_signed(x: np.ndarray) -> np.ndarray:
 
 def null_to(column: Column | str, value: object) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(value))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB's SQL for the unsigned CRC-32 of an ASCII text: each byte goes in, then eight shifts."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END"
+    return f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda a, x: {step}), 4294967295)"

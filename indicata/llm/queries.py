@@ -2,6 +2,8 @@
 
 from indicata.llm import (
     chat_tree,
+    line_dedup,
+    merkle,
     ngram_join,
     pfair,
     piece_tokens,
@@ -9,6 +11,7 @@ from indicata.llm import (
     sharding,
     substring_dedup,
     topk_search,
+    turn_repair,
     url_filter,
     warc_revisit,
 )
@@ -26,6 +29,9 @@ QUERIES = {
         ngram_join.op8_ngram_join,
         piece_tokens.op9_piece_tokens,
         sharding.op10_sharding,
+        turn_repair.op11_turn_repair,
+        merkle.op12_merkle_manifest,
+        line_dedup.op13_line_dedup,
     )
 }
 
@@ -36,4 +42,7 @@ ORACLE_SQL = {
     "op5_chat_tree": chat_tree.OP5_SQL,
     "op6_topk_search": topk_search.OP6_SQL,
     "op8_ngram_join": ngram_join.OP8_SQL,
+    "op11_turn_repair": turn_repair.OP11_SQL,
+    "op12_merkle_manifest": merkle.OP12_SQL,
+    "op13_line_dedup": line_dedup.OP13_SQL,
 }
