@@ -4,17 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from indicata.functions import fixed_values as V
-from indicata.operators.reshape import pivot_domain
+from indicata.operators import moments as M
 from indicata.session import checkpointed
 
 
@@ -58,8 +54,27 @@ def time_split(df: DataFrame, share: float = V.TRAIN_SHARE, time: str = "YEAR")
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The correlation matrix as rows (``feature``, ``other``, ``correlation``).
 
-    All pairs are aggregates of one pass; rows where either value is null do not count for a pair.
+    It comes from the moments of one aggregate. Where a column has nulls, rows where either value is null do not
+    count for a pair, so each pair is measured on its own rows.
     """
+    (found,) = M.gather(df, columns).values() or [M.none(columns)]
+    if found.missing or not found.count:
+        return _pairwise_correlations(df, columns)
+    return correlation_rows(df, found)
+
+
+def correlation_rows(df: DataFrame, moments: M.Moments) -> DataFrame:
+    """The correlations of ``moments`` as rows, in the session of ``df``."""
+    matrix = moments.correlation()
+    cells = [
+        (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, a in enumerate(moments.columns)
+        for j, b in enumerate(moments.columns)
+    ]
+    return df.sparkSession.createDataFrame(cells, "feature string, other string, correlation double")
+
+
+def _pairwise_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     row = df.agg(
         *[
@@ -77,62 +92,46 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class ElasticNetFit:
-    """A fitted model with the penalty cross-validation chose."""
+    """A fitted model with the penalty cross-validation chose, and the moments of the rows it was fitted on."""
 
-    model: LinearRegressionModel
+    coefficients: tuple[float, ...]
+    intercept: float
     alpha: float
     fold_mse: dict[float, float]
     features: tuple[str, ...]
+    moments: M.Moments
 
     def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         """``df`` with the prediction as a plain arithmetic column."""
-        return df.withColumn(name, _prediction(self.model, self.features))
-
-
-def _prediction(model: LinearRegressionModel, features: Sequence[str]) -> Column:
-    terms = F.lit(float(model.intercept))
-    for name, weight in zip(features, model.coefficients):
-        terms = terms + F.col(f"`{name}`").cast("double") * F.lit(float(weight))
-    return terms
-
-
-def _estimator(label: str) -> LinearRegression:
-    """The solver that reads the rows once and iterates on their moments."""
-    return LinearRegression(
-        featuresCol="_features",
-        labelCol=label,
-        solver="normal",
-        standardization=False,
-        tol=1e-12,
-        maxIter=10_000,
-    )
-
-
-def _penalty(estimator: LinearRegression, alpha: float, l1_ratio: float, label_std: float) -> dict:
-    """Spark's parameters for ``alpha * (l1_ratio |w|_1 + (1 - l1_ratio) / 2 |w|_2^2)``.
-
-    Spark fits on a label divided by its population standard deviation, which scales the squared
-    term.
-    """
-    l1 = alpha * l1_ratio
-    total = l1 + alpha * (1 - l1_ratio) * label_std
-    return {estimator.regParam: total, estimator.elasticNetParam: l1 / total if total else 0.0}
+        terms: Column = F.lit(self.intercept)
+        for feature, weight in zip(self.features, self.coefficients):
+            terms = terms + F.col(f"`{feature}`").cast("double") * F.lit(weight)
+        return df.withColumn(name, terms)
 
 
 def contiguous_folds(df: DataFrame, folds: int, time: str) -> Column:
     """Fold numbers that are blocks of consecutive values of ``time``, sizes differing by one at most.
 
-    Rows of one time stay together. Only the distinct times come to the driver, as many as a pivot may
-    have, and only the first time of each fold becomes part of the expression.
+    Rows of one time stay together. The distinct times, however many, are sorted into ranges and numbered there;
+    the driver sees the number of times in each range and the first time of each fold.
     """
-    times = [value for value in pivot_domain(df, time) if value is not None]
-    if len(times) < folds:
+    times = df.select(F.col(f"`{time}`").alias("time")).where("time IS NOT NULL").distinct()
+    ranges = times.repartitionByRange("time").sortWithinPartitions("time")
+    # the range stands above the lowest 33 bits, the place in it below
+    placed = checkpointed(ranges.withColumn("at", F.monotonically_increasing_id()))
+    held = sorted(placed.groupBy(F.shiftright("at", 33).alias("range")).count().collect())
+    total = sum(n for _, n in held)
+    if total < folds:
         raise ValueError(f"{folds} folds need at least {folds} distinct values of {time}")
-    size, larger = divmod(len(times), folds)
-    starts = [k * size + min(k, larger) for k in range(1, folds)]
+    size, larger = divmod(total, folds)
+    wanted, before = [], 0
+    for number, n in held:
+        starts = [k * size + min(k, larger) for k in range(1, folds)]
+        wanted += [(number << 33) + start - before for start in starts if before <= start < before + n]
+        before += n
     fold = F.lit(0)
-    for start in starts:
-        fold = fold + (F.col(time) >= F.lit(times[start])).cast("int")
+    for row in placed.where(F.col("at").isin(wanted)).collect() if wanted else []:
+        fold = fold + (F.col(f"`{time}`") >= F.lit(row["time"])).cast("int")
     return fold
 
 
@@ -147,47 +146,27 @@ def fit_elastic_net(
 ) -> ElasticNetFit:
     """Fit an elastic net whose ``alpha`` has the lowest mean squared error over the folds.
 
-    Folds are fitted side by side, and one pass over a fold's rows measures every alpha. Of equally
-    good alphas the largest is taken.
+    One pass over the rows takes each fold's moments; fits for any number of penalties, and their errors on the
+    fold left out, follow from these without the rows. Of equally good alphas the largest is taken. Rows without
+    ``time`` are in no fold and count for the final fit only.
     """
     features = tuple(features)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
-    rows = (
-        assembler.transform(train)
-        .withColumn("_fold", contiguous_folds(train, folds, time))
-        .withColumn(label, F.col(label).cast("double"))
-        .select("_features", "_fold", label, *[f for f in features])
-        .persist()
-    )
-    try:
-        estimator = _estimator(label)
-        spreads = rows.agg(
-            F.stddev_pop(label).alias("all"),
-            *[F.stddev_pop(F.when(F.col("_fold") != k, F.col(label))).alias(str(k)) for k in range(folds)],
-        ).first()
-
-        def fold_errors(k: int) -> list[float]:
-            grid = [_penalty(estimator, alpha, l1_ratio, spreads[str(k)]) for alpha in alphas]
-            models = estimator.fit(rows.where(F.col("_fold") != k), grid)
-            errors = rows.where(F.col("_fold") == k).agg(
-                *[
-                    F.avg(F.pow(F.col(label) - _prediction(model, features), F.lit(2))).alias(str(i))
-                    for i, model in enumerate(models)
-                ]
-            )
-            return list(errors.first())
-
-        with ThreadPoolExecutor(max_workers=folds) as pool:
-            target = inheritable_thread_target(train.sparkSession)(fold_errors)
-            per_fold = list(pool.map(target, range(folds)))
-        fold_mse = {
-            alpha: math.fsum(errors[i] for errors in per_fold) / folds for i, alpha in enumerate(alphas)
-        }
-        best = min(sorted(alphas, reverse=True), key=fold_mse.__getitem__)
-        model = estimator.fit(rows, _penalty(estimator, best, l1_ratio, spreads["all"]))
-    finally:
-        rows.unpersist()
-    return ElasticNetFit(model, best, fold_mse, features)
+    parts = M.gather(train, (*features, label), contiguous_folds(train, folds, time))
+    missing = sorted({c for part in parts.values() for c in part.missing})
+    if missing:
+        raise ValueError(f"rows to fit on have nulls in {', '.join(missing)}")
+    blank = M.none((*features, label))
+    errors: dict[float, list[float]] = {alpha: [] for alpha in alphas}
+    for k in range(folds):
+        kept = sum((parts[i] for i in range(folds) if i != k), blank)
+        for alpha in alphas:
+            weights, intercept = M.elastic_net(kept, label, alpha, l1_ratio)
+            errors[alpha].append(M.squared_error(parts[k], label, weights, intercept))
+    fold_mse = {alpha: math.fsum(found) / folds for alpha, found in errors.items()}
+    best = min(sorted(alphas, reverse=True), key=fold_mse.__getitem__)
+    whole = sum(parts.values(), blank)
+    weights, intercept = M.elastic_net(whole, label, best, l1_ratio)
+    return ElasticNetFit(tuple(map(float, weights)), intercept, best, fold_mse, features, whole)
 
 
 def regression_metrics(predictions: DataFrame, label: str = V.LABEL_COLUMN, prediction: str = "prediction") -> DataFrame:
@@ -238,4 +217,5 @@ def fit_gdp_model(
     features = [c for c in columns if c not in (time, label)]
     fit = fit_elastic_net(train, features, label, time=time, **options)
     predictions = fit.predict(test)
-    return GdpModel(fit, correlations(train, features), predictions, regression_metrics(predictions, label))
+    matrix = correlation_rows(table, fit.moments.of(features))
+    return GdpModel(fit, matrix, predictions, regression_metrics(predictions, label))

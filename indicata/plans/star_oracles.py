@@ -331,6 +331,40 @@ VIEWS["panel"] = f"""SELECT year(l_shipdate) AS year, p_brand AS label, sum(CAST
 _SCALED = ("year", "hours", "lines", "discounted", "quantity", "gdp")
 _CORRELATED = ("hours", "lines", "discounted", "quantity")
 
+# The model, from its definition: every (penalty, fold left out) descends on its own rows' covariances, one coordinate
+# after the other, for a fixed number of rounds that is far beyond convergence.
+_ROUNDS = 3000
+_INPUTS = "[" + ", ".join(_CORRELATED) + "]"
+_COVARIANCES = "[" + ", ".join(f"[{', '.join(f'covar_pop({a}, {b})' for b in _CORRELATED)}]" for a in _CORRELATED) + "]"
+VIEWS["scaled_panel"] = (
+    "SELECT "
+    + ", ".join(f"(p.{c} - lo_{c}) / CAST(coalesce(nullif(hi_{c} - lo_{c}, 0), 1) AS DOUBLE) AS {c}" for c in _SCALED)
+    + " FROM panel p, (SELECT "
+    + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _SCALED)
+    + " FROM panel)"
+)
+VIEWS["train_years"] = f"""SELECT year, CASE WHEN r < t % {V.FOLDS} * (t // {V.FOLDS} + 1) THEN r // (t // {V.FOLDS} + 1)
+        ELSE t % {V.FOLDS} + (r - t % {V.FOLDS} * (t // {V.FOLDS} + 1)) // (t // {V.FOLDS}) END AS fold
+    FROM (SELECT year, row_number() OVER (ORDER BY year) - 1 AS r, count(*) OVER () AS t
+          FROM (SELECT DISTINCT year FROM scaled_panel WHERE year < {V.TRAIN_SHARE}))"""
+VIEWS["train_rows"] = "SELECT * FROM scaled_panel JOIN train_years USING (year)"
+VIEWS["kept_moments"] = f"""SELECT k, {_COVARIANCES} AS g, [{', '.join(f'covar_pop({c}, gdp)' for c in _CORRELATED)}] AS c,
+        [{', '.join(f'avg({c})' for c in _CORRELATED)}] AS m, avg(gdp) AS my
+    FROM train_rows, range(-1, {V.FOLDS}) folds(k) WHERE fold <> k GROUP BY k"""
+VIEWS["fitted"] = f"""SELECT *, my - list_dot_product(m, w) AS b FROM (SELECT k, alpha, m, my,
+        list_reduce(list_prepend(CAST([0, 0, 0, 0] AS DOUBLE[]), list_transform(range({4 * _ROUNDS}), lambda i: CAST([i % 4 + 1] AS DOUBLE[]))),
+          lambda w, turn: list_transform([1, 2, 3, 4], lambda j: CASE WHEN j <> turn[1] THEN w[j] ELSE
+            sign(c[j] - list_dot_product(g[j], w) + g[j][j] * w[j])
+            * greatest(abs(c[j] - list_dot_product(g[j], w) + g[j][j] * w[j]) - alpha * {V.L1_RATIO}, 0)
+            / (g[j][j] + alpha * {1 - V.L1_RATIO}) END)) AS w
+        FROM kept_moments, (SELECT CAST(unnest({list(V.ALPHAS)}) AS DOUBLE) AS alpha))"""
+VIEWS["chosen"] = f"""SELECT alpha FROM (SELECT alpha, avg(error) AS error FROM
+        (SELECT alpha, k, avg((gdp - b - list_dot_product(w, {_INPUTS})) ** 2) AS error
+         FROM fitted JOIN train_rows ON fold = k GROUP BY alpha, k) GROUP BY alpha)
+    ORDER BY round(error, 13), alpha DESC LIMIT 1"""
+VIEWS["predicted"] = f"""SELECT s.*, b + list_dot_product(w, {_INPUTS}) AS prediction, alpha
+    FROM scaled_panel s, fitted JOIN chosen USING (alpha) WHERE k = -1 AND year >= {V.TRAIN_SHARE}"""
+
 _RENAMED_PRODUCTIVITY = {
     "All industries": "all_industries",
     "Wholesale and retail trade": "trade",
@@ -452,6 +486,12 @@ _SELECTS = {
         for a in _CORRELATED
         for b in _CORRELATED
     ),
+    "elastic_net_metrics": """SELECT round(1 - avg((gdp - prediction) ** 2) / var_pop(gdp), 6) AS r2,
+        round(avg((gdp - prediction) ** 2), 8) AS mse, round(sqrt(avg((gdp - prediction) ** 2)), 7) AS rmse,
+        max(alpha) AS alpha FROM predicted""",
+    "elastic_net_predictions": "SELECT "
+    + ", ".join(f"round({c}, 7) AS {c}" for c in (*_SCALED, "prediction"))
+    + " FROM predicted",
 }
 
 

@@ -361,11 +361,13 @@ def feature_correlation(spark: SparkSession, folder: str) -> DataFrame:
 
 def elastic_net_metrics(spark: SparkSession, folder: str) -> DataFrame:
     fitted = model.fit_gdp_model(_panel(spark, folder), PANEL_FEATURES, label="GDP")
-    return fitted.metrics.withColumn("alpha", F.lit(fitted.fit.alpha))
+    measured = _snake(fitted.metrics.withColumn("alpha", F.lit(fitted.fit.alpha)))
+    return _rounded(_rounded(_rounded(measured, 6, "r2"), 8, "mse"), 7, "rmse")
 
 
 def elastic_net_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return model.fit_gdp_model(_panel(spark, folder), PANEL_FEATURES, label="GDP").predictions
+    found = _snake(model.fit_gdp_model(_panel(spark, folder), PANEL_FEATURES, label="GDP").predictions)
+    return _rounded(found, 7, *found.columns)
 
 
 QUERIES: dict[str, Query] = {

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from indicata.functions import fixed_values as V
-from indicata.operators import model
+from indicata.operators import model, moments
 
 
 def coordinate_descent(x, y, alpha, ratio=0.5, rounds=5000):
@@ -46,8 +46,8 @@ def test_coefficients_equal_coordinate_descent(spark, alpha):
     fit = model.fit_elastic_net(table, features, alphas=[alpha])
     rows = np.array([tuple(r) for r in table.select(*features, V.LABEL_COLUMN).collect()])
     w, b = coordinate_descent(rows[:, :-1], rows[:, -1], alpha)
-    assert np.allclose(fit.model.coefficients.toArray(), w, atol=1e-5)
-    assert abs(fit.model.intercept - b) < 1e-5
+    assert np.allclose(fit.coefficients, w, atol=1e-5)
+    assert abs(fit.intercept - b) < 1e-5
 
 
 def test_cross_validation_equals_coordinate_descent(spark):
@@ -114,3 +114,69 @@ def test_correlations_equal_numpy(spark):
     for i, a in enumerate(names):
         for j, b in enumerate(names):
             assert found[a, b] == pytest.approx(expected[i, j], abs=1e-9)
+
+
+def test_folds_of_many_times_equal_an_array_split(spark):
+    times = np.array([t * 3 + 1 for t in range(12_000)])
+    df = spark.range(24_000).select(((F.col("id") % 12_000) * 3 + 1).alias("t"), F.lit(None).cast("int").alias("time"))
+    found = df.repartition(7).withColumn("f", model.contiguous_folds(df, 5, "t")).distinct()
+    by_time = {r["t"]: r["f"] for r in found.collect()}
+    for k, part in enumerate(np.array_split(times, 5)):
+        assert {by_time[t] for t in part.tolist()} == {k}
+
+
+def test_correlations_of_columns_with_nulls_use_the_rows_of_each_pair(spark):
+    rows = [(1.0, 2.0, 1.0), (2.0, None, 5.0), (3.0, 1.0, None), (4.0, 7.0, 2.0), (5.0, 3.0, 9.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    found = {(r[0], r[1]): r[2] for r in model.correlations(df, ["a", "b", "c"]).collect()}
+    for i, x in enumerate("abc"):
+        for j, y in enumerate("abc"):
+            both = np.array([(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None])
+            assert found[x, y] == pytest.approx(np.corrcoef(both.T)[0, 1])
+
+
+def test_correlation_with_a_constant_is_null(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0)], "a double, b double")
+    found = {(r[0], r[1]): r[2] for r in model.correlations(df, ["a", "b"]).collect()}
+    assert found["a", "b"] is None and found["a", "a"] == pytest.approx(1.0)
+
+
+def test_moments_merge_and_keep_digits_far_from_zero(spark):
+    rng = np.random.default_rng(1)
+    rows = rng.normal(size=(400, 3)) + [1e9, -1e8, 0]
+    df = spark.createDataFrame([(i % 3, *map(float, r)) for i, r in enumerate(rows)], "g int, a double, b double, c double")
+    parts = moments.gather(df.repartition(6), ["a", "b", "c"], F.col("g"))
+    whole = sum(parts.values(), moments.none(["a", "b", "c"]))
+    assert sorted(parts) == [0, 1, 2] and whole.count == 400
+    assert np.allclose(whole.covariance(), np.cov(rows.T, bias=True), atol=1e-6)
+    assert np.allclose(whole.mean, rows.mean(0), rtol=1e-12)
+
+
+def test_errors_from_moments_are_those_of_the_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = rng.random((60, 4))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in rows], "a double, b double, c double, y double")
+    (found,) = moments.gather(df, ["a", "b", "c", "y"]).values()
+    weights = np.array([0.3, -1.0, 2.0])
+    error = np.mean((rows[:, 3] - rows[:, :3] @ weights - 0.7) ** 2)
+    assert moments.squared_error(found, "y", weights, 0.7) == pytest.approx(error, rel=1e-12)
+
+
+def test_nulls_among_rows_to_fit_on_are_named(spark):
+    table = feature_table(spark).withColumn(V.FEATURE_COLUMNS[2], F.lit(None).cast("double"))
+    features = [c for c in V.FEATURE_COLUMNS if c not in ("YEAR", V.LABEL_COLUMN)]
+    with pytest.raises(ValueError, match=V.FEATURE_COLUMNS[2]):
+        model.fit_elastic_net(table, features)
+
+
+def test_number_of_passes_does_not_grow_with_penalties(spark):
+    def jobs_of(alphas):
+        spark.sparkContext.setJobGroup(f"fit-{len(alphas)}", "")
+        model.fit_gdp_model(table, alphas=alphas).metrics.collect()
+        found = spark.sparkContext.statusTracker().getJobIdsForGroup(f"fit-{len(alphas)}")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(found)
+
+    table = feature_table(spark, per_year=3)
+    few, many = jobs_of([0.1]), jobs_of([0.001 * 1.3**i for i in range(40)])
+    assert few == many <= 20

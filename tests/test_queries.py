@@ -21,9 +21,9 @@ def test_query_equals_sql(spark, name):
     assert compare.type_difference(result.dtypes, FOLDER, SQL[name]) == {}
 
 
-def test_only_model_fitting_has_no_sql():
+def test_every_query_has_sql():
     assert set(QUERIES) <= set(entry_module.queries())
-    assert set(QUERIES) - set(SQL) == {"elastic_net_metrics", "elastic_net_predictions"}
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
