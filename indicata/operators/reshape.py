@@ -168,29 +168,47 @@ def unpivot_columns(
     return df.unpivot([_quoted(key)], [_quoted(column) for column in columns], name, value)
 
 
+def collected_text(value: Column | str, separator: str = "") -> Column:
+    """All values of a group that are not null as one text, in ascending order of the values (not of their text).
+
+    The text holds every value, so it is for groups whose values fit into a cell.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    ordered = F.array_sort(F.collect_list(column))
+    return F.array_join(F.transform(ordered, lambda x: x.cast("string")), separator)
+
+
 def transpose_panel(
     panel: DataFrame,
     columns: Sequence[str],
     pivot_column: str,
     values: Sequence[object] | None = None,
     as_text: bool = True,
+    separator: str = "",
 ) -> DataFrame:
     """Turn ``columns`` into rows and the values of ``pivot_column`` into columns.
 
-    The first output column carries the old column names under the name ``pivot_column``. A missing
-    cell is empty text, or null with ``as_text=False``. Two rows for one ``pivot_column`` value have
-    no single cell to go to and fail the query.
+    The first output column carries the old column names under the name ``pivot_column``. As text, a cell has
+    all its values in ascending order, joined by ``separator``, and is empty without any. With ``as_text=False`` it
+    has its one value or null, and two rows for one ``pivot_column`` value fail the query, as no single value is right.
+
+    Cells are made first, each in the task its (column, value) goes to, and the pivot then reads one row per cell;
+    ``values`` not given are discovered on these.
     """
-    if values is None:
-        panel = checkpointed(panel)
-        values = pivot_domain(panel, pivot_column)
     long = unpivot_columns(panel, pivot_column, columns, "_name", "_value")
-    cells = []
+    cell = collected_text("_value", separator) if as_text else F.max("_value")
+    cells = long.groupBy("_name", _quoted(pivot_column)).agg(cell.alias("_cell"), F.count("*").alias("_rows"))
+    if values is None:
+        cells = checkpointed(cells)
+        values = pivot_domain(cells, pivot_column)
+    found = []
     for value in values:
         here = _is(pivot_column, value)
-        cell = F.when(
-            F.count_if(here) > 1,
-            F.raise_error(F.lit(f"transpose: more than one row for {pivot_column} {value}")).cast("double"),
-        ).otherwise(F.max(F.when(here, F.col("_value"))))
-        cells.append((F.concat_ws("", cell.cast("string")) if as_text else cell).alias(_name(value)))
-    return long.groupBy(F.col("_name").alias(pivot_column)).agg(*cells)
+        content = F.max(F.when(here, F.col("_cell")))
+        if as_text:
+            content = F.coalesce(content, F.lit(""))
+        else:
+            several = F.raise_error(F.lit(f"transpose: more than one row for {pivot_column} {value}"))
+            content = F.when(F.max(F.when(here, F.col("_rows"))) > 1, several.cast(cells.schema["_cell"].dataType)).otherwise(content)
+        found.append(content.alias(_name(value)))
+    return cells.groupBy(F.col("_name").alias(pivot_column)).agg(*found)

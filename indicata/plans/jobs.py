@@ -238,13 +238,17 @@ def development_output(
     country: str = "Canada",
     years: Sequence[int] = V.DEVELOPMENT_YEARS,
     as_text: bool = True,
+    values: Sequence[int] | None = None,
 ) -> DataFrame:
-    """One row per financial-development index with a column per year."""
+    """One row per financial-development index with a column per year that has rows.
+
+    ``years`` bounds the years; ``values`` names the columns instead of discovering them.
+    """
     rows = filters.require(panel, ["ifs", "code", "country"], "any").where(
         (F.col("country") == country) & F.col("year").between(min(years), max(years))
     )
     return R.transpose_panel(
-        rows.select("year", *V.DEVELOPMENT_INDICES), V.DEVELOPMENT_INDICES, "year", years, as_text
+        rows.select("year", *V.DEVELOPMENT_INDICES), V.DEVELOPMENT_INDICES, "year", values, as_text
     )
 
 

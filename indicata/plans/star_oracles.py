@@ -277,6 +277,10 @@ _INDEX_CELLS = ", ".join(
 VIEWS["development"] = f"""SELECT {_PLACE} AS country, year(o_orderdate) + {S.BASE_YEAR_SHIFT} AS year, {_INDEX_CELLS}
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2"""
 
+VIEWS["development_by_nation"] = f"""SELECT n_nationkey, {_PLACE} AS country, year(o_orderdate) + {S.BASE_YEAR_SHIFT} AS year,
+    {_INDEX_CELLS} FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    GROUP BY 1, 2, 3"""
+
 _COUNTRY = _list(S.COUNTRIES)
 VIEWS["series"] = f"""SELECT {_COUNTRY}[c_nationkey % 10 + 1] AS series,
     make_date(year(o_orderdate) + {S.SERIES_SHIFT}, CASE {_COUNTRY}[c_nationkey % 10 + 1] WHEN 'US' THEN 9 ELSE 1 END,
@@ -365,11 +369,24 @@ VIEWS["chosen"] = f"""SELECT alpha FROM (SELECT alpha, avg(error) AS error FROM
 VIEWS["predicted"] = f"""SELECT s.*, b + list_dot_product(w, {_INPUTS}) AS prediction, alpha
     FROM scaled_panel s, fitted JOIN chosen USING (alpha) WHERE k = -1 AND year >= {V.TRAIN_SHARE}"""
 
-_RENAMED_PRODUCTIVITY = {
+_INDUSTRIES = {
+    "Accommodation and food services": "accommodation_and_food_services",
+    "Agriculture, forestry, fishing, mining, quarrying, oil and gas": (
+        "agriculture__forestry__fishing__mining__quarrying__oil_and_gas"
+    ),
     "All industries": "all_industries",
-    "Wholesale and retail trade": "trade",
-    "Agriculture, forestry, fishing, mining, quarrying, oil and gas": "resources",
     "Business": "business",
+    "Construction": "construction",
+    "Educational services": "educational_services",
+    "Entertainment and recreation": "entertainment_and_recreation",
+    "Finance, insurance, real estate, rental and leasing": "finance__insurance__real_estate__rental_and_leasing",
+    "Goods-producing industries": "goods_producing_industries",
+    "Health care and social assistance": "health_care_and_social_assistance",
+    "Manufacturing": "manufacturing",
+    "Public administration": "public_administration",
+    "Service-producing industries": "service_producing_industries",
+    "Utilities": "utilities",
+    "Wholesale and retail trade": "wholesale_and_retail_trade",
 }
 
 _SELECTS = {
@@ -434,6 +451,15 @@ _SELECTS = {
         + " FROM development WHERE country = 'Canada' AND year BETWEEN 2010 AND 2016"
         for name in V.DEVELOPMENT_INDICES
     ),
+    "transpose_collected": " UNION ALL ".join(
+        f"SELECT '{name}' AS index_code, "
+        + ", ".join(
+            f"coalesce(string_agg(CAST({name} AS VARCHAR), '' ORDER BY {name}) FILTER (WHERE year = {y}), '') AS y{y}"
+            for y in range(2010, 2017)
+        )
+        + " FROM development_by_nation WHERE country = 'Canada' AND year BETWEEN 2010 AND 2018"
+        for name in V.DEVELOPMENT_INDICES
+    ),
     "strip_code": "SELECT split_part(naics, ' [', 1) AS naics, CAST(sum(value) AS BIGINT) AS total FROM gdp GROUP BY 1",
     "relabel_rules": f"""SELECT {_GDP_NAME} AS naics, CAST(sum(value) AS BIGINT) AS total,
         round(avg(value), 6) AS average FROM gdp GROUP BY 1""",
@@ -443,7 +469,7 @@ _SELECTS = {
     "productivity_pivot": "SELECT CAST(year(ref_date) AS INT) AS year, "
     + ", ".join(
         f"round(avg(labour_productivity) FILTER (WHERE naics = '{label}'), 6) AS {name}"
-        for label, name in _RENAMED_PRODUCTIVITY.items()
+        for label, name in _INDUSTRIES.items()
     )
     + " FROM productivity GROUP BY 1",
     "yearly_two_source_join": f"""SELECT g.year, retail_gdp, retail_sales FROM

@@ -198,7 +198,14 @@ def unpivot_years(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def transpose_panel(spark: SparkSession, folder: str) -> DataFrame:
-    wide = jobs.development_output(S.development_panel(spark, folder), years=tuple(range(2010, 2017)))
+    years = tuple(range(2010, 2017))
+    wide = jobs.development_output(S.development_panel(spark, folder), years=years, values=years)
+    return wide.toDF("index_code", *[f"y{name}" for name in wide.columns[1:]])
+
+
+def transpose_collected(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per nation, so the cells of a country of several nations have several values; years are discovered."""
+    wide = jobs.development_output(S.development_panel(spark, folder, by_nation=True))
     return wide.toDF("index_code", *[f"y{name}" for name in wide.columns[1:]])
 
 
@@ -226,22 +233,11 @@ def productivity_yearly(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(_snake(yearly), 6, "hours_worked", "gdp_value", "labour_productivity")
 
 
-PRODUCTIVE_INDUSTRIES = (
-    "All industries",
-    "Wholesale and retail trade",
-    "Agriculture, forestry, fishing, mining, quarrying, oil and gas",
-    "Business",
-)
-
-
 def productivity_pivot(spark: SparkSession, folder: str) -> DataFrame:
+    """Every industry that the joined months have is a column."""
     monthly = jobs.monthly_productivity(S.gdp(spark, folder), S.hours(spark, folder))
-    wide = jobs.labour_productivity_output(monthly, PRODUCTIVE_INDUSTRIES)
-    return _rounded(
-        wide.toDF("year", "all_industries", "trade", "resources", "business"),
-        6,
-        *("all_industries", "trade", "resources", "business"),
-    )
+    wide = _snake(jobs.labour_productivity_output(monthly))
+    return _rounded(wide, 6, *wide.columns[1:])
 
 
 def yearly_two_source_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -405,6 +401,7 @@ QUERIES: dict[str, Query] = {
         select_years_distinct,
         unpivot_years,
         transpose_panel,
+        transpose_collected,
         strip_code,
         relabel_rules,
         relabel_rules_legacy,

@@ -212,13 +212,15 @@ def _whole(value: Column, kind: str = "int") -> Column:
     return F.floor(value).cast(kind)
 
 
-def _places(spark: SparkSession, folder: str, side: str, key: str) -> DataFrame:
-    """``key`` and ``GEO`` of the suppliers or customers."""
+def _places(spark: SparkSession, folder: str, side: str, key: str, nation: bool = False) -> DataFrame:
+    """``key`` and ``GEO`` of the suppliers or customers, and their ``nation`` if asked for."""
     nations = table(spark, folder, "nation").select(
         "n_nationkey", F.nullif(_pick(PLACES, F.col("n_nationkey") + 1), F.lit("")).alias("GEO")
     )
     sides = table(spark, folder, side)
-    return sides.join(nations, F.col(f"{key[0]}_nationkey") == F.col("n_nationkey")).select(key, "GEO")
+    return sides.join(nations, F.col(f"{key[0]}_nationkey") == F.col("n_nationkey")).select(
+        key, "GEO", *(["n_nationkey"] if nation else [])
+    )
 
 
 def labelled_lines(spark: SparkSession, folder: str, label: Column) -> DataFrame:
@@ -431,17 +433,19 @@ def macro_wide(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def development_panel(spark: SparkSession, folder: str) -> DataFrame:
-    """Nine order counts per place and year."""
+def development_panel(spark: SparkSession, folder: str, by_nation: bool = False) -> DataFrame:
+    """Nine order counts per place and year, or per nation of a place and year."""
     orders = table(spark, folder, "orders").join(
-        _places(spark, folder, "customer", "c_custkey"), F.col("o_custkey") == F.col("c_custkey")
+        _places(spark, folder, "customer", "c_custkey", by_nation), F.col("o_custkey") == F.col("c_custkey")
     )
     conditions = [
         F.lit(True),
         *[F.col("o_orderstatus") == status for status in ("F", "O", "P")],
         *[F.col("o_orderpriority").startswith(str(digit)) for digit in range(1, 6)],
     ]
-    return orders.groupBy(
+    nation = ["n_nationkey"] if by_nation else []
+    counted = orders.groupBy(
+        *nation,
         F.col("GEO").alias("country"),
         (F.year(F.col("o_orderdate").cast("date")) + BASE_YEAR_SHIFT).alias("year"),
     ).agg(
@@ -452,3 +456,4 @@ def development_panel(spark: SparkSession, folder: str) -> DataFrame:
             for index, condition in zip(V.DEVELOPMENT_INDICES, conditions)
         ],
     )
+    return counted.drop(*nation)

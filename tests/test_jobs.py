@@ -246,14 +246,32 @@ def test_null_rules(spark):
     assert filters.require(df, ["a", "b"], "all").count() == 2
 
 
-def test_transposed_panel_fails_on_two_rows_for_a_year(spark):
+def test_transposed_panel(spark):
     panel = spark.createDataFrame([(2010, 0.5, 1.0), (2011, None, 2.0)], "year int, a double, b double")
     assert collected(R.transpose_panel(panel, ["a", "b"], "year")) == [("a", "0.5", ""), ("b", "1.0", "2.0")]
     numbers_ = R.transpose_panel(panel, ["a", "b"], "year", as_text=False)
     assert numbers_.columns == ["year", "2010", "2011"]
     assert collected(numbers_) == [("a", 0.5, None), ("b", 1.0, 2.0)]
     with pytest.raises(Exception, match="more than one row for year 2010"):
-        R.transpose_panel(panel.union(panel), ["a", "b"], "year").collect()
+        R.transpose_panel(panel.union(panel), ["a", "b"], "year", as_text=False).collect()
+
+
+def test_transposed_cells_of_several_rows_are_joined_in_order(spark):
+    rows = [(2010, 10.0, "x"), (2010, 9.5, None), (2010, 9.5, "b"), (2012, None, "é"), (None, 1.0, "n")]
+    panel = spark.createDataFrame(rows, "year int, a double, b string").repartition(4)
+    numeric = R.transpose_panel(panel, ["a"], "year")
+    assert numeric.columns == ["year", "null", "2010", "2012"]
+    assert collected(numeric) == [("a", "1.0", "9.59.510.0", "")]  # by value: as text, 10.0 would come first
+    text = R.transpose_panel(panel, ["b"], "year", values=[2010, 2011, 2012], separator="; ")
+    assert collected(text) == [("b", "b; x", "", "é")]
+    assert collected(R.transpose_panel(panel.limit(0), ["a"], "year", values=[2010])) == []
+
+
+def test_development_columns_are_the_years_that_have_rows(spark):
+    names = list(V.DEVELOPMENT_INDICES)
+    rows = [(1, "CA", "Canada", year, *[float(year)] * len(names)) for year in (2009, 2011, 2018, 2019)]
+    panel = spark.createDataFrame(rows, ["ifs", "code", "country", "year", *names])
+    assert jobs.development_output(panel).columns == ["year", "2011", "2018"]
 
 
 def test_series_panel_edges(spark):
