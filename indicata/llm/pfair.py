@@ -27,6 +27,7 @@ from itertools import count
 from math import gcd, lcm
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -206,6 +207,31 @@ def in_mixed_order(df: DataFrame, **options: object) -> DataFrame:
     return ordered.select(*[f"`{c}`" for c in df.columns])
 
 
+def placed(docs: DataFrame, out: str) -> DataFrame:
+    """``docs`` with each row's place, from 0, in the order in which the table was written.
+
+    Reading deals files out by size, so the place is that of the row in its file, after all rows of the files
+    that Spark's writer numbered before. A table that is not read from files has the order it is in.
+    """
+    path, row, rows, before, out = C.fresh(docs, "_path", "_row", "_rows", "_before", out)
+    try:
+        at = docs.withColumns({path: F.col("_metadata.file_path"), row: F.col("_metadata.row_index")})
+        at.schema
+    except AnalysisException:
+        within = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+        at = docs.withColumns({path: F.spark_partition_id().cast("string"), row: within})
+        number = [F.col(path).cast("long")]
+    else:
+        name = r"part-(\d+)[^/]*?(?:-c(\d+))?\.[^/]*$"
+        number = [F.regexp_extract(path, name, k).try_cast("long") for k in (1, 2)]
+    # one row per file
+    files = at.groupBy(path).agg(F.count(F.lit(1)).alias(rows))
+    earlier = Window.orderBy(*number, path).rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(path, F.coalesce(F.sum(rows).over(earlier), F.lit(0)).alias(before))
+    found = at.join(files, path)
+    return found.select(*[f"`{c}`" for c in docs.columns], (F.col(before) + F.col(row)).alias(out))
+
+
 def op7_pfair_mixing(spark, sf_dir: str) -> DataFrame:
     """Every document's place in a mixture of all sources."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -2,7 +2,7 @@
 
 import random
 
-import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -11,17 +11,15 @@ from indicata.llm import piece_tokens as P
 
 FOLDER = "/root/testdata/sf0.01"
 PIECES = P.Pieces.load()
-SCORES = {int(np.frombuffer(i, np.int32)[0]): s for s, i in PIECES.tails.values() if s is not None}
+SCORES = {i: s for _, s, i in PIECES.pieces}
+KNOWN = {p: s for p, s, _ in PIECES.pieces}
 
 
 def best_score(word):
     best = [0.0]
     for end in range(1, len(word) + 1):
         ways = [best[end - 1] + PIECES.unknown]
-        for start in range(end):
-            score, _ = PIECES.tails.get(word[start:end], (None, b""))
-            if score is not None:
-                ways.append(best[start] + score)
+        ways += [best[start] + KNOWN[word[start:end]] for start in range(end) if word[start:end] in KNOWN]
         best.append(max(ways))
     return best[-1]
 
@@ -41,19 +39,33 @@ def test_scores_are_the_best(spark):
     words = sorted({"▁" + w for d in docs for w in (d.text or "").split()})
     random.seed(3)
     chosen = sorted([*random.sample(words, 1500), "▁", "▁▁▁x", "日本語", "▁naïve…", "🙂🙃"])
-    for word, code in P.encode_sorted(chosen, PIECES):
-        ids = np.frombuffer(code, np.int32)
+    flat, ends = P.Search(PIECES).ids(chosen)
+    for word, begin, end in zip(chosen, [0, *ends], ends):
+        ids = flat[begin:end]
         assert b"".join(PIECES.raw[i] for i in ids).decode() == word.replace("▁", " ")
         assert abs(score_of(ids) - best_score(word)) < 1e-3, word
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab \n\t▁\0é日"))
-def test_quick_split_is_the_pattern(text):
-    import re
-
-    marked = ("▁" + text).replace(" ", "▁")
-    assert P._words(marked, re.compile(PIECES.words), PIECES.alone) == re.findall(PIECES.words, marked)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab \n\t▁\0é日")), max_size=4))
+def test_texts_split_at_once_have_the_ids_of_their_words(texts):
+    encoder = P.Encoder(PIECES)
+    flat, offsets = encoder.encode(pa.array(texts, pa.string()))
+    for text, begin, end in zip(texts, offsets, offsets[1:]):
+        expected = []
+        for word in encoder._parts(text or ""):
+            expected += PIECES.spelled("▁") if word is None else P.Search(PIECES).ids([word])[0]
+        assert flat[begin:end].tolist() == expected
+
+
+def test_words_are_forgotten_and_found_again(monkeypatch):
+    texts = pa.array(["a word", "日本 a word", None, "an other\nword  twice"] * 3)
+    expected = P.Encoder(PIECES).encode(texts)
+    monkeypatch.setattr(P, "KEPT_BYTES", 0)
+    encoder = P.Encoder(PIECES)
+    for _ in range(3):
+        for found, wanted in zip(encoder.encode(texts), expected):
+            assert found.tolist() == wanted.tolist()
 
 
 def test_round_trip_of_every_document(spark):

@@ -99,3 +99,25 @@ def test_odd_documents(spark):
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
             found = stage(spark, docs, FOLDER).collect()
             assert len(found) == (0 if k == 0 or not rows else len(rows))
+
+
+def test_stages_with_columns_named_like_their_outputs(spark, folder):
+    """Every output name of the operators is taken; stages pass those columns on, and the last one gives its own."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    taken = ["token_ids", "n_tokens", "round_trip", "mix_place", "mix_slot", "mix_row", "kept", "base_failed", "n_words"]
+    taken += ["quality_probability", "kept_text", "n_removed", "component_id", "other_id", "_path", "_row", "row", "source_", "key"]
+    wide = docs.withColumns({c: F.concat(F.lit(f"{c} "), F.col("doc_id")) for c in taken})
+    tables, plain = [wide], [docs]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        for name, found in (("wide", tables), ("plain", plain)):
+            stage(spark, found[-1], FOLDER).write.parquet(f"{folder}/{name}-{k}")
+            found.append(spark.read.parquet(f"{folder}/{name}-{k}"))
+        if k < 4:
+            assert tables[-1].columns == wide.columns
+            bad = [tables[-1].where(F.col(c) != F.concat(F.lit(f"{c} "), F.col("doc_id"))).count() for c in taken]
+            assert not any(bad)
+    assert tables[-1].columns == plain[-1].columns
+    wanted, got = [sorted(map(tuple, t.drop("mix_place").collect()), key=repr) for t in (plain[-1], tables[-1])]
+    assert wanted == got
+    places = sorted(r.mix_place for r in tables[-1].collect())
+    assert places == list(range(len(places)))
