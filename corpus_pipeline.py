@@ -1,16 +1,15 @@
 """A corpus pipeline of five stages, each written as Parquet and read again by the next.
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, folder of tables) and returns a DataFrame. All
-but the last return the columns of ``documents``; the last gives each row's place in the mixture. Nulls, empty tables and clashing columns are handled as
-the operators' modules state.
+but the last return the columns of ``documents``; the last gives each row's place in the mixture. Nulls, empty tables and
+clashing columns are handled as the operators' modules state.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.llm import common, ngram_join, pfair, piece_tokens, quality_rules, substring_dedup
@@ -39,34 +38,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pfair.in_mixed_order(docs)
 
 
-def placed(docs: DataFrame, out: str) -> DataFrame:
-    """``docs`` with each row's place, from 0, in the order in which the table was written.
-
-    Reading deals files out by size, so the place is that of the row in its file, after all rows of the files
-    that Spark's writer numbered before. A table that is not read from files has the order it is in.
-    """
-    path, row, rows, before, out = common.fresh(docs, "_path", "_row", "_rows", "_before", out)
-    try:
-        at = docs.withColumns({path: F.col("_metadata.file_path"), row: F.col("_metadata.row_index")})
-        at.schema
-    except AnalysisException:
-        within = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-        at = docs.withColumns({path: F.spark_partition_id().cast("string"), row: within})
-        number = [F.col(path).cast("long")]
-    else:
-        name = r"part-(\d+)[^/]*?(?:-c(\d+))?\.[^/]*$"
-        number = [F.regexp_extract(path, name, k).try_cast("long") for k in (1, 2)]
-    # one row per file
-    files = at.groupBy(path).agg(F.count(F.lit(1)).alias(rows))
-    earlier = Window.orderBy(*number, path).rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select(path, F.coalesce(F.sum(rows).over(earlier), F.lit(0)).alias(before))
-    found = at.join(F.broadcast(files), path)
-    return found.select(*[f"`{c}`" for c in docs.columns], (F.col(before) + F.col(row)).alias(out))
-
-
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document's text and its place in the mixture; sorting by ``mix_place`` gives the mixture."""
-    coded = piece_tokens.tokenized(placed(docs, "mix_place"), piece_tokens.Pieces.load())
+    (place,) = common.fresh(docs, "mix_place")
+    own = pfair.placed(docs, place).select("doc_id", "source", "text", F.col(place).alias("mix_place"))
+    coded = piece_tokens.tokenized(own, piece_tokens.Pieces.load())
     return coded.select("doc_id", "source", "n_tokens", "token_ids", "round_trip", "mix_place")
 
 
