@@ -46,10 +46,45 @@ def without_members(df: DataFrame, column: str, members: tuple[str, ...]) -> Dat
     return df.where(~F.col(f"`{column}`").isin(*members)) if members else df
 
 
+#: A date or timestamp that months follow from, with how far they are moved in its metadata.
+STORED_DATE = "_stored_date"
+#: The year of a stored month, by which a table is laid out in folders.
+YEAR_PARTITION = "REF_YEAR"
+
+
+def stored_date(date: Column | str, months_later: int = 0, span: int = 1) -> Column:
+    """``date`` as the column by which windows and prefixes of ``REF_DATE`` narrow the scan of a table.
+
+    The month of ``REF_DATE`` must be that of the first date of a run of ``span`` months, ``months_later`` months on.
+    """
+    column = F.col(date) if isinstance(date, str) else date
+    return column.alias(STORED_DATE, metadata={"months_later": months_later, "span": span})
+
+
+def _stored_range(df: DataFrame, first: int, after: int) -> Column:
+    """What the months from ``first`` to before ``after``, counted from year 0, mean for the columns a scan knows.
+
+    This follows from the condition on the month itself and drops no further row; but only this reaches the files.
+    """
+    found = F.lit(True)
+    if STORED_DATE in df.columns:
+        about = df.schema[STORED_DATE]
+        low = first - about.metadata["months_later"]
+        high = after - about.metadata["months_later"] + about.metadata["span"] - 1
+        bounds = [F.lit(f"{n // 12:04d}-{n % 12 + 1:02d}-01").cast(about.dataType) for n in (low, high)]
+        found = found & (F.col(STORED_DATE) >= bounds[0]) & (F.col(STORED_DATE) < bounds[1])
+    if YEAR_PARTITION in df.columns:
+        found = found & F.col(YEAR_PARTITION).between(first // 12, (after - 1) // 12)
+    return found
+
+
 def within_months(df: DataFrame, window: tuple[str, str] | None, month: str = "REF_DATE") -> DataFrame:
     """Keep a window of months, given as text or as dates; no window keeps all."""
     if window is None:
         return df
+    if month == "REF_DATE":
+        first, last = (int(y) * 12 + int(m) - 1 for y, m in (bound.split("-") for bound in window))
+        df = df.where(_stored_range(df, first, last + 1))
     if df.schema[month].dataType.typeName() == "string":
         return df.where(dates.month_text_in(month, window))
     return df.where(dates.month_in(month, window))
@@ -78,4 +113,8 @@ def with_prefix(df: DataFrame, column: str, prefixes: tuple[str, ...]) -> DataFr
     text = F.col(column)
     if df.schema[column].dataType.typeName() != "string":
         text = text.cast("string")
+    if column == "REF_DATE" and all(p.isdigit() and len(p) <= 4 for p in prefixes):
+        # the beginning of a year is a range of years
+        spans = [(int(p.ljust(4, "0")), 10 ** (4 - len(p))) for p in prefixes]
+        df = df.where(reduce(or_, [_stored_range(df, 12 * y, 12 * (y + n)) for y, n in spans]))
     return df.where(reduce(or_, [text.startswith(prefix) for prefix in prefixes]))

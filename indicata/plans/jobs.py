@@ -25,16 +25,22 @@ _PRESENT = ["REF_DATE", "GEO", "VALUE"]
 
 
 def cleansed(
-    raw: DataFrame, prefixes: tuple[str, ...] = V.CLEANSE_PREFIXES, month_dates: bool = False
+    raw: DataFrame,
+    prefixes: tuple[str, ...] = V.CLEANSE_PREFIXES,
+    month_dates: bool = False,
+    text_name: str | None = None,
 ) -> DataFrame:
     """The rows of the kept decades.
 
     ``month_dates`` stores month text as dates, parsed here once and for all: every job takes either
-    kind, and on a column of dates its window reaches the file scan as a range.
+    kind, and on a column of dates its window reaches the file scan as a range. ``text_name`` adds a column with
+    the text of those that are no month, whose date is null.
     """
     kept = filters.with_prefix(raw, "REF_DATE", prefixes)
     if month_dates and raw.schema["REF_DATE"].dataType.typeName() == "string":
-        kept = kept.withColumn("REF_DATE", dates.parse_month("REF_DATE"))
+        date = dates.parse_month("REF_DATE")
+        added = {text_name: F.when(date.isNull(), F.col("REF_DATE"))} if text_name else {}
+        kept = kept.withColumns({**added, "REF_DATE": date})
     return kept
 
 

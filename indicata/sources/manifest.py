@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.sources.tables import path_exists
+from indicata.sources.tables import is_complete
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -23,13 +23,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def run_manifest(
     manifest: DataFrame,
-    step: Callable[[str], None],
+    step: Callable[[str], str | None],
     output_path: Callable[[str], str] | None = None,
 ) -> DataFrame:
     """Run ``step(table_id)`` for every manifest row; return ``table_id``, ``status``.
 
-    Each step is itself a Spark job. A failing table is reported and does not stop the others. With
-    ``output_path``, tables whose output is already there are skipped.
+    Each step is itself a Spark job; what it has to remark on its rows stands behind its status. A failing table is
+    reported and does not stop the others. With ``output_path``, tables whose output is complete are skipped; one that
+    was only begun is made again.
     """
     spark = manifest.sparkSession
     statuses = []
@@ -38,13 +39,13 @@ def run_manifest(
         if not identifier:
             statuses.append((identifier, f"No table id: {row['title']}"))
             continue
-        if output_path is not None and path_exists(spark, output_path(identifier)):
+        if output_path is not None and is_complete(spark, output_path(identifier)):
             statuses.append((identifier, "Skipped"))
             continue
         try:
-            step(identifier)
+            remark = step(identifier)
         except (PySparkException, OSError, ValueError, KeyError) as error:
             statuses.append((identifier, f"{type(error).__name__}: {error}"))
         else:
-            statuses.append((identifier, "Successful"))
+            statuses.append((identifier, f"Successful ({remark})" if remark else "Successful"))
     return spark.createDataFrame(statuses, "table_id string, status string")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.functions import fixed_values as V
+from indicata.operators import filters
 from indicata.operators import partials as P
 
 # --- Fixed values: labels the dimensions are given ----------------------------------------------
@@ -208,6 +209,11 @@ def _month(date: str, shift: int = MONTH_SHIFT) -> Column:
     )
 
 
+def _stored(date: str, shift: int = MONTH_SHIFT, span: int = 1) -> Column:
+    """The date that ``_month`` reads, for windows to reach the scan."""
+    return filters.stored_date(date, 12 * shift, span)
+
+
 def _whole(value: Column, kind: str = "int") -> Column:
     return F.floor(value).cast(kind)
 
@@ -234,6 +240,7 @@ def gdp(spark: SparkSession, folder: str) -> DataFrame:
     lines = labelled_lines(spark, folder, _brand(GDP_INDUSTRIES))
     return lines.select(
         _month("l_shipdate").alias("REF_DATE"),
+        _stored("l_shipdate"),
         F.lit("Canada").alias("GEO"),
         F.when(F.col("l_returnflag") == "A", "Seasonally adjusted at annual rates")
         .when(F.col("l_returnflag") == "R", "Trading-day adjusted")
@@ -251,6 +258,7 @@ def trade(spark: SparkSession, folder: str) -> DataFrame:
     lines = labelled_lines(spark, folder, _type(TRADE_PRODUCTS))
     return lines.select(
         _month("l_shipdate").alias("REF_DATE"),
+        _stored("l_shipdate"),
         F.when(F.col("l_linestatus") == "F", "Import").otherwise("Export").alias("Trade"),
         F.when(F.col("l_returnflag") == "A", "Customs").otherwise("Balance of payments").alias("Basis"),
         F.when(F.col("l_discount") < 0.03, "Unadjusted")
@@ -267,6 +275,7 @@ def hours(spark: SparkSession, folder: str) -> DataFrame:
     lines = labelled_lines(spark, folder, _brand(HOURS_INDUSTRIES))
     return lines.select(
         _month("l_shipdate").alias("REF_DATE"),
+        _stored("l_shipdate"),
         F.lit("Canada").alias("GEO"),
         F.col("label").alias(V.NAICS),
         F.when(F.col("l_returnflag") == "N", "Standard error").otherwise("Estimate").alias("Statistics"),
@@ -280,6 +289,7 @@ def retail(spark: SparkSession, folder: str) -> DataFrame:
     )
     return lines.select(
         _month("l_shipdate").alias("REF_DATE"),
+        _stored("l_shipdate"),
         "GEO",
         F.col("label").alias(V.NAICS),
         F.when(F.col("l_returnflag") == "N", "Unadjusted")
@@ -295,6 +305,7 @@ def cpi(spark: SparkSession, folder: str) -> DataFrame:
     )
     return orders.select(
         _month("o_orderdate").alias("REF_DATE"),
+        _stored("o_orderdate"),
         "GEO",
         _priority(PRODUCT_GROUPS).alias("Products and product groups"),
         _whole(F.col("o_totalprice") / 1000, "double").alias("VALUE"),
@@ -304,6 +315,7 @@ def cpi(spark: SparkSession, folder: str) -> DataFrame:
 def tsx(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         _month("o_orderdate").alias("REF_DATE"),
+        _stored("o_orderdate"),
         _priority(TSX_STATISTICS).alias("Toronto Stock Exchange Statistics"),
         F.when(F.col("o_orderstatus") == "P", "Dollars").otherwise("Index").alias("UOM"),
         (_whole(F.col("o_totalprice") / 1000, "double") - 50).alias("VALUE"),
@@ -313,6 +325,7 @@ def tsx(spark: SparkSession, folder: str) -> DataFrame:
 def leading_indicators(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         _month("o_orderdate", BASE_YEAR_SHIFT).alias("REF_DATE"),
+        _stored("o_orderdate", BASE_YEAR_SHIFT),
         _priority(LEADING_INDICATORS).alias("Leading indicators"),
         F.when(F.col("o_orderstatus") == "O", "Unsmoothed").otherwise("Smoothed").alias("Composite index"),
         (_whole(F.col("o_totalprice") / 1000, "double") - 100).alias("VALUE"),
@@ -326,6 +339,7 @@ def spending(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("quarter", quarter)
         .select(
             _month("quarter").alias("REF_DATE"),
+            _stored("l_shipdate", span=3),
             F.lit("Canada").alias("GEO"),
             F.when(F.col("l_linestatus") == "F", "Current prices")
             .otherwise("2012 constant prices")
@@ -345,6 +359,7 @@ def stock(spark: SparkSession, folder: str) -> DataFrame:
     price = F.col("o_totalprice")
     return table(spark, folder, "orders").select(
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", _month("o_orderdate")).alias("REF_DATE"),
+        _stored("o_orderdate"),
         _whole(price / 100, "double").alias("High"),
         _whole(price / 1000, "double").alias("Low"),
         _whole(price, "double").alias("Volume"),

@@ -4,6 +4,7 @@ import __spark_entry__ as entry_module
 import compare
 import pytest
 
+from indicata.operators import reshape
 from indicata.plans import star_oracles, star_queries
 
 FOLDER = "/root/testdata/sf0.01"
@@ -56,3 +57,33 @@ def test_case_counts_read_the_cases_once(spark):
     plan = QUERIES["cases_by_week_region"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert "Join" not in plan
+
+
+@pytest.mark.parametrize(
+    ("name", "scans"),
+    [
+        ("indicator_window_filtered", ["o_orderdate"]),
+        ("label_pivot", ["l_shipdate"]),
+        ("label_pivot_prices", ["o_orderdate"]),
+        ("cleanse_prefix", ["l_shipdate"]),
+        ("merge_monthly_outer", ["l_shipdate"] * 3 + ["o_orderdate"]),
+    ],
+)
+def test_windows_reach_the_scan_as_ranges(spark, monkeypatch, name, scans):
+    """Every scan of a windowed view gets both ends of its range, of those that the query or a checkpoint of it makes."""
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.persist()
+
+    monkeypatch.setattr(reshape, "checkpointed", kept)
+    plans.append(QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString())
+    ranges = []
+    for line in "\n".join(plans).splitlines():
+        if "FileScan" in line and "PushedFilters" in line:
+            pushed = line.partition("PushedFilters:")[2]
+            for column in ("o_orderdate", "l_shipdate"):
+                if f"GreaterThanOrEqual({column}," in pushed and f"LessThan({column}," in pushed:
+                    ranges.append(column)
+    assert sorted(set(ranges)) == sorted(set(scans)) and len(ranges) >= len(scans)

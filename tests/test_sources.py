@@ -66,7 +66,8 @@ def test_manifest_run_reports_and_skips(spark, folder):
     path = write(f"{folder}/list.txt", "One, with comma (x) :1\nTwo :2\n\nThree :3")
     listed = manifest.read_manifest(spark, path)
     assert [tuple(r) for r in listed.collect()] == [("One, with comma (x)", "1"), ("Two", "2"), ("Three", "3")]
-    os.makedirs(f"{folder}/out/2")
+    write(f"{folder}/out/2/_SUCCESS", "")
+    write(f"{folder}/out/1/_temporary/0/part", "half written")
 
     def step(identifier):
         if identifier == "3":
@@ -96,6 +97,103 @@ def test_archives_are_extracted_in_order(spark, folder):
     assert numbers == [str(i) for i in range(25_000)]
 
 
+def zipped(path, entries):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for name, text in entries.items():
+            out.writestr(name, text)
+
+
+def test_entries_are_units_and_can_be_chosen(spark, folder):
+    zipped(f"{folder}/zips/a.zip", {"d/": "", "d/1.csv": "A\n1\n", "1_MetaData.csv": "m\n"})
+    zipped(f"{folder}/zips/b.zip", {"2.csv": "A\n2\n3\n", "2_MetaData.csv": "n\n", "empty.csv": ""})
+    first = archive.list_entries(spark, f"{folder}/zips").orderBy("member")
+    assert [(r.member, r.position, r.bytes) for r in first.collect()] == [("2.csv", 0, 6), ("d/1.csv", 0, 4)]
+    every = archive.read_archives(spark, f"{folder}/zips", "*")
+    assert every.rdd.getNumPartitions() == 5
+    assert every.groupBy("member").count().count() == 4
+    meta = archive.read_archives(spark, f"{folder}/zips", "*_MetaData.csv")
+    assert sorted(r.line for r in meta.collect()) == ["m", "n"]
+    done = archive.extract_archives(spark, f"{folder}/zips", f"{folder}/text", "*.csv")
+    assert sorted(done) == ["1", "1_MetaData", "2", "2_MetaData", "empty"]
+    assert sorted(os.listdir(f"{folder}/text")) == ["member=1", "member=1_MetaData", "member=2", "member=2_MetaData"]
+    assert archive.extract_archives(spark, f"{folder}/zips", f"{folder}/text", "?.csv", replace=False) == []
+    assert tables.read_csv(spark, f"{folder}/text/member=2").agg(F.sum("A")).first()[0] == 5
+
+
+def test_two_entries_of_one_name_are_refused(spark, folder):
+    zipped(f"{folder}/zips/a.zip", {"1.csv": "A\n1\n"})
+    zipped(f"{folder}/zips/b.zip", {"x/1.csv": "A\n2\n"})
+    assert archive.read_archives(spark, f"{folder}/zips").select("archive").distinct().count() == 2
+    with pytest.raises(ValueError, match="a.zip and .*b.zip|b.zip and .*a.zip"):
+        archive.extract_archives(spark, f"{folder}/zips", f"{folder}/text")
+    assert not os.path.exists(f"{folder}/text")
+
+
+def test_archives_that_only_hadoop_can_open(spark, folder, monkeypatch):
+    zipped(f"{folder}/zips/a.zip", {"1.csv": "A\n1\n", "2.csv": "A\n2\n"})
+    monkeypatch.setattr(archive, "streamed", lambda path: False)
+    lines = archive.read_archives(spark, f"{folder}/zips", "*").orderBy("member", "line_number")
+    assert [(r.member, r.line) for r in lines.collect()] == [("1.csv", "A"), ("1.csv", "1"), ("2.csv", "A"), ("2.csv", "2")]
+
+
+def test_schemes_that_arrow_streams_from():
+    assert archive.streamed("file:/x/a.zip")
+    assert archive._arrow_uri("s3a://bucket/a.zip") == "s3://bucket/a.zip"
+    assert not archive.streamed("other://bucket/a.zip")
+
+
+def test_a_half_extracted_table_is_extracted_again(spark, folder):
+    zipped(f"{folder}/zips/a.zip", {"1.csv": "A\n1\n"})
+    write(f"{folder}/text/member=1/_temporary/0/part", "half")
+    write(f"{folder}/text/member=1/part-old.txt", "A")
+    assert archive.extract_archives(spark, f"{folder}/zips", f"{folder}/text", replace=False) == ["1"]
+    assert "_temporary" not in os.listdir(f"{folder}/text/member=1")
+    assert tables.read_csv(spark, f"{folder}/text/member=1").collect() == [(1,)]
+
+
+def test_a_table_appears_only_when_it_is_complete(spark, folder):
+    df = spark.range(10)
+    os.makedirs(f"{folder}/t/_temporary")
+    tables.write_published(df, f"{folder}/t", replace=False)
+    assert tables.is_complete(spark, f"{folder}/t") and spark.read.parquet(f"{folder}/t").count() == 10
+    with pytest.raises(FileExistsError, match="already exists"):
+        tables.write_published(df, f"{folder}/t", replace=False)
+    fails = df.select(F.raise_error(F.lit("stop")).cast("int").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        tables.write_published(fails, f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 10
+    tables.write_published(spark.range(3), f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 3 and os.listdir(folder) == ["t"]
+
+
+def test_files_of_a_table_sized_result_leave_the_work_wide(spark, folder):
+    wide = spark.range(0, 1000, 1, 8).where("id % 2 = 0")
+    tables.write_table(wide, f"{folder}/f", files=2)
+    assert len([f for f in os.listdir(f"{folder}/f") if f.endswith(".parquet")]) == 2
+    tables.write_table(wide, f"{folder}/s", files=2, sort_by="id")
+    parts = sorted(f for f in os.listdir(f"{folder}/s") if f.endswith(".parquet"))
+    firsts = [[r.id for r in spark.read.parquet(f"{folder}/s/{p}").collect()] for p in parts]
+    assert len(parts) == 2 and firsts[0] + firsts[1] == list(range(0, 1000, 2))
+    tables.write_table(wide, f"{folder}/r", rebalanced=True)
+    assert len([f for f in os.listdir(f"{folder}/r") if f.endswith(".parquet")]) == 1  # far below the advisory size
+
+
+def test_a_file_of_another_header_fails_by_name(spark, folder):
+    schema = schemas.struct({"A": "int", "B": "int"})
+    write(f"{folder}/t/good.csv", "A,B\n1,2\n")
+    assert tables.read_csv(spark, f"{folder}/t", schema).collect() == [(1, 2)]
+    write(f"{folder}/t/turned.csv", "B,A\n4,3\n")
+    with pytest.raises(Exception, match="turned.csv"):
+        tables.read_csv(spark, f"{folder}/t", schema).collect()
+
+
+def test_partitioned_parquet_is_read_as_parquet(spark, folder):
+    path = f"{folder}/{schemas.table_id('gdp')}"
+    tables.write_table(spark.createDataFrame([("2010-01", 1, 2010)], "REF_DATE string, VALUE int, y int"), path, partition_by="y")
+    assert run.read_input(spark, folder, "gdp").count() == 1
+
+
 def test_series_files_are_one_scan(spark, folder):
     write(f"{folder}/c/Canada.csv", "DATE,AAA\n1999-01-01,2000000000\n2000-01-01,3000000000\n")
     write(f"{folder}/c/US.csv", "DATE,BBB\n1999-09-30,9.5\n2000-09-30,10.5\n1930-06-30,1\n")
@@ -278,6 +376,59 @@ def test_unknown_table_keeps_its_text(spark, folder):
     assert sorted(tuple(r) for r in stored.collect()) == [("2015", 1), ("2016", 3)]
 
 
+GDP_LINE = "{},Canada,,Trading-day adjusted,p,All industries [T001],u,1,units,0,v,1.1,{},,,,0"
+
+
+def odd_gdp(folder):
+    header = ",".join(f'"{n}"' for n in schemas.observation_schema("36100434").names)
+    lines = [("2015-01", 5), ("2015-05-01", 7), ("2015", 8), ("2015-13", 9), ("2009-01", 1), ("2016-02", "x")]
+    text = "\n".join([header, *[GDP_LINE.format(*x) for x in lines], "2017-01,Canada"])
+    return write(f"{folder}/raw/36100434.csv", text + "\n")
+
+
+@pytest.mark.parametrize("by_year", [False, True])
+def test_rows_that_cannot_be_read_are_counted_and_kept(spark, folder, by_year):
+    odd_gdp(folder)
+    listed = write(f"{folder}/list.txt", "GDP :36100434\n")
+    status = run.ingest(spark, listed, f"{folder}/raw", f"{folder}/clean", by_year=by_year)
+    assert [tuple(r) for r in status.collect()] == [("36100434", "Successful (2 malformed lines, 3 months not read)")]
+    stored = spark.read.parquet(f"{folder}/clean/36100434")
+    assert {r.REF_DATE_TEXT for r in stored.where("REF_DATE IS NULL").collect()} == {"2015-05-01", "2015", "2015-13"}
+    assert stored.count() == 6 and "_malformed" not in stored.columns
+    odd = spark.read.parquet(f"{folder}/clean/quarantine/36100434")
+    assert sorted((r.reason, r.REF_DATE) for r in odd.collect()) == [
+        ("malformed line", "2016-02"), ("malformed line", "2017-01"),
+        ("no month", "2015"), ("no month", "2015-05-01"), ("no month", "2015-13"),
+    ]
+    assert "2017-01,Canada" in {r._malformed for r in odd.collect()}
+    assert [r.status for r in run.ingest(spark, listed, f"{folder}/raw", f"{folder}/clean").collect()] == ["Skipped"]
+
+
+def test_windows_read_only_the_years_they_need(spark, folder, inputs):
+    run.cleanse_table(spark, f"{inputs}/36100434", folder, "36100434", by_year=True)
+    stored = run.read_input(spark, folder, "gdp")
+    result = jobs.gdp_output(stored, window=("2012-03", "2013-02"))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(REF_YEAR" in plan and ">= 2012" in plan and "<= 2013" in plan
+    by_text = jobs.gdp_output(run.read_input(spark, inputs, "gdp"), window=("2012-03", "2013-02"))
+    assert sorted(map(tuple, result.collect())) == sorted(map(tuple, by_text.collect()))
+    files = {f.split("REF_YEAR=")[1][:4] for f in stored.inputFiles()}
+    assert files == {str(y) for y in range(2010, 2021)}
+
+
+def test_a_failing_job_stops_only_those_that_build_on_it(spark, folder, inputs):
+    os.rename(f"{inputs}/{schemas.table_id('tsx')}", f"{folder}/elsewhere")
+    write(f"{inputs}/macro.csv", "not,the,columns\n1,2,3\n")
+    status = dict(tuple(r) for r in run.run(spark, inputs, f"{folder}/out").collect())
+    assert len(status) == len(run.JOBS)
+    assert "Exception" in status["tsx_totals"] and "Exception" in status["IMF_output"]
+    assert status["TSX_output"] == "Not run: needs tsx_totals" and status["TSX-yearly"] == "Not run: needs TSX_output"
+    rest = set(status) - {"tsx_totals", "IMF_output", "TSX_output", "TSX60_output", "TSX-yearly"}
+    assert {status[name] for name in rest} == {"Successful"}
+    again = dict(tuple(r) for r in run.run(spark, inputs, f"{folder}/out", resume=True).collect())
+    assert {again[name] for name in rest} == {"Skipped"} and again["TSX_output"] == status["TSX_output"]
+
+
 def test_selected_jobs_bring_their_inputs(spark, folder, inputs):
     status = run.run(spark, inputs, f"{folder}/o", ["TSX-yearly"])
     assert [r["job"] for r in status.collect()] == ["tsx_totals", "TSX_output", "TSX-yearly"]
