@@ -148,8 +148,9 @@ class LabelModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.log_odds(votes)))
 
 
-#: Where EM starts, and the ranges within which accuracies on good and on bad texts stay.
-START, GOOD_RANGE, BAD_RANGE, PRIOR_RANGE = (0.8, 0.99, 0.4), (0.98, 0.9999), (0.2, 0.99), (0.05, 0.9)
+#: Where EM starts, and the ranges within which accuracies on good and on bad texts and the prior stay. They only keep
+#: logarithms finite, and a rule's vote on good texts from meaning its opposite.
+START, GOOD_RANGE, BAD_RANGE, PRIOR_RANGE = (0.8, 0.99, 0.4), (0.5, 0.9999), (0.001, 0.9999), (0.02, 0.98)
 
 
 def expectation_maximisation(
@@ -199,15 +200,17 @@ def fit(measured: DataFrame, struct: str = "s", rules: Sequence[Rule] = RULES) -
 def judge(
     measured: DataFrame, model: LabelModel, struct: str = "s", threshold: float = 0.5, rules: Sequence[Rule] = RULES
 ) -> DataFrame:
-    """Adds ``quality_probability``, ``base_failed`` and ``kept`` to rows with signals."""
+    """Adds ``quality_probability``, ``base_failed`` and ``kept`` to rows with signals; a name that is taken gets a
+    leading underscore."""
+    names = C.fresh(measured, "quality_probability", "base_failed", "kept")
     votes = [vote(r, struct) for r in rules]
     failed = base_failed(struct)
     probability = model.probability(votes)
     return measured.withColumns(
         {
-            "quality_probability": probability,
-            "base_failed": failed,
-            "kept": ~failed & (probability >= F.lit(threshold)),
+            names[0]: probability,
+            names[1]: failed,
+            names[2]: ~failed & (probability >= F.lit(threshold)),
         }
     )
 
