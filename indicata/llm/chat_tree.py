@@ -2,9 +2,11 @@
 
 A node of a tree is a turn after given earlier turns. Conversations are sorted by their path of nodes, which
 is depth-first order, and each sorted partition is read as a stream: a conversation adds the turns that
-the one before it does not have, and is otherwise the same tokens. A pack is such a stream up to about
-``pack_chars``; the next pack of the stream repeats the turns its conversations share with earlier ones. So
-a first turn of any number of conversations spreads over packs and tasks, and a task holds one pack.
+the one before it does not have, and is otherwise the same tokens. A pack is such a stream; the next one repeats the
+turns that its first conversation shares with the one before, and ends once it has added ``pack_chars`` of its own, or
+as many as it repeats if these are more. So a partition's packs have at most twice the text that its tree has, a
+first turn of any number of conversations spreads over packs and tasks, and a task holds one pack, of a size that
+follows ``pack_chars`` and its longest conversation.
 
 The unit ("token") is a code point of the formatted text. A pack's row has the text, and per node its
 span, its parent, the position id of its first token (its depth in tokens), the spans of its ancestors and
@@ -99,8 +101,9 @@ def _packs(pack_chars: int):
         pieces: list[str] = []
         nodes: list[dict] = []
         leaves: list[dict] = []
-        length = 0
+        length = repeated = 0
         above: list[tuple[tuple, int]] = []  # the turns of the conversation before and their nodes
+        before_it: list[tuple] = []  # its turns, kept beyond the pack
 
         def packed() -> pd.DataFrame:
             return pd.DataFrame({"text": ["".join(pieces)], "nodes": [nodes], "leaves": [leaves]})
@@ -108,9 +111,13 @@ def _packs(pack_chars: int):
         for frame in frames:
             for key, turns in zip(frame["key"], frame["turns"]):
                 own = [(t["role"], t["text"]) for t in turns]
-                if length >= pack_chars:
+                known = 0
+                if length - repeated >= max(pack_chars, repeated):
                     yield packed()
-                    pieces, nodes, leaves, length, above = [], [], [], 0, []
+                    pieces, nodes, leaves, length, repeated, above = [], [], [], 0, 0, []
+                    while known < min(len(own), len(before_it)) and before_it[known] == own[known]:
+                        known += 1
+                before_it = own
                 shared = 0
                 while shared < min(len(own), len(above)) and above[shared][0] == own[shared]:
                     shared += 1
@@ -138,6 +145,8 @@ def _packs(pack_chars: int):
                     )
                     pieces.append(piece)
                     length += len(piece)
+                    if len(above) < known:
+                        repeated = length
                     above.append(((role, text), len(nodes) - 1))
                 leaves.append({"key": key, "node": above[-1][1] if above else -1})
         if leaves:

@@ -43,6 +43,47 @@ def test_shards_match_counts_and_mixture(spark):
             assert abs(n - sizes[source] / 40) <= 2
 
 
+def packs_of(spark, rows, pack_chars):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, key string, turns int")
+    conf = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "1")
+    try:
+        convs = chat_tree.conversations(df)
+        packs = chat_tree.pack(convs, pack_chars).collect()
+        read = chat_tree.members(convs).join(chat_tree.read_back(chat_tree.pack(convs, pack_chars)), "key").collect()
+    finally:
+        spark.conf.set(conf, before)
+    return packs, {r.conv_id: r for r in read}
+
+
+def test_a_long_first_turn_is_repeated_a_few_times_only(spark):
+    first = "x" * 40_000
+    rows = [(i, t, r, s, "k", 1) for i in range(50) for t, (r, s) in enumerate([("system", first), ("user", f"question {i}")])]
+    packs, read = packs_of(spark, rows, chat_tree.PACK_CHARS)
+    assert sum(len(p.text) for p in packs) < 3 * 43_000
+    assert len(read) == 50 and all(r.n_turns == 2 for r in read.values())
+
+
+@pytest.mark.parametrize("pack_chars", [1, 200, 5000])
+def test_packs_have_at_most_twice_the_text_of_the_tree(spark, pack_chars):
+    rand = Random(4)
+    rows, distinct = [], {}
+    for i in range(150):
+        path = ()
+        for t in range(rand.randrange(1, 6)):
+            path += (("user", "assistant")[t % 2] + "-" + "y" * rand.choice([3, 3, 400]) + str(rand.randrange(2)),)
+            distinct[path] = len(chat_tree.format_turn(*path[-1].split("-"))[0])
+            rows.append((i, t, *path[-1].split("-"), "k", 1))
+    packs, read = packs_of(spark, rows, pack_chars)
+    total = sum(len(p.text) for p in packs)
+    longest = max(sum(distinct[p[: k + 1]] for k in range(len(p))) for p in distinct)
+    assert total <= 2 * sum(distinct.values()) + longest
+    assert max(len(p.text) for p in packs) <= max(pack_chars, longest) + 2 * longest
+    assert sorted(read) == list(range(150))
+    assert len({r.n_turns for r in read.values()}) > 2
+
+
 def test_schedule_stays_within_a_block():
     weights = {"a": 5.0, "b": 1.5, "c": 0.2, "d": 3.3}
     blocks = {"a": 40, "b": 30, "c": 2, "d": 9}
