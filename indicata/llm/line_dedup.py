@@ -36,6 +36,8 @@ MIN_DOCS, MIN_CHARS = 10, 1
 BITS_PER_LINE, MAX_WORDS = 8, 1 << 22
 #: Words that travel and merge together.
 STRETCH = 1 << 13
+#: Parts into which the rows of a repeated line are dealt.
+SALTS = 16
 #: At most so many tasks build filters, which bounds what is merged by this and ``MAX_WORDS``.
 BUILDERS = 2048
 
@@ -224,7 +226,11 @@ def repeated_lines(
     order = F.col("who").substr(F.lit(2), F.length("who")).try_cast(docs.schema["order"].dataType)
     place = F.struct(order.alias("order"), "who", "mark", F.get("lines", F.lit(0)).alias("line"))
     counted = suspects.groupBy("line_key").agg(F.count(F.lit(1)).alias("docs"), F.min(place).alias("first"))
-    gone = suspects.join(counted.where(F.col("docs") >= min_docs), "line_key")
+    # a line of very many documents is dealt to several tasks; as it is in min_docs rows, this adds no more rows than there are
+    salts = max(1, min(min_docs, SALTS))
+    often = counted.where(F.col("docs") >= min_docs).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = suspects.withColumn("salt", F.pmod(F.xxhash64("who", "mark"), F.lit(salts)).cast("int"))
+    gone = salted.join(often, ["line_key", "salt"])
     if keep_first:
         here = (F.col("who") == F.col("first.who")) & (F.col("mark") == F.col("first.mark"))
         gone = gone.withColumn("lines", F.when(here, F.array_remove("lines", F.col("first.line"))).otherwise(F.col("lines")))
