@@ -5,8 +5,10 @@ A word is a run of bytes outside ``\\x20\\x09-\\x0D``, which is what ``bytes.spl
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator, Sequence
+from contextlib import suppress
 from itertools import chain
 
 import numpy as np
@@ -116,14 +118,25 @@ def as_bytes(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_string()).cast(pa.large_binary())
 
 
+def release() -> None:
+    """Give back to the system what this worker has freed, so that it holds little while it waits for other tasks."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every system has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts have about ``limit`` bytes together; a longer text is alone with few."""
+    """Row ranges whose texts have about ``limit`` bytes together; a longer text is alone with few.
+
+    What the slices of the column took is given back after the last one.
+    """
     if not len(column):
         return
     lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = np.cumsum(lengths + 16) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(column)]
     yield from zip(cuts, cuts[1:])
+    release()
 
 
 def hashed(texts: Sequence[list[bytes]], cache: WordHash) -> tuple[np.ndarray, np.ndarray]:

@@ -41,8 +41,8 @@ MARK = "▁"
 #: How far below the lowest score of a piece a character spelled in bytes is.
 UNKNOWN_PENALTY = 10.0
 #: About what a worker keeps of words and their ids before it starts anew.
-KEPT_BYTES = 64 << 20
-SLICE_BYTES = 4 << 20
+KEPT_BYTES = 32 << 20
+SLICE_BYTES = 1 << 20
 #: Positions that the search keeps room for from word to word.
 LONG = 1 << 12
 DECODED = 1 << 18
