@@ -40,8 +40,3 @@ def apply_rules(label: Column | str, rules: Iterable[tuple[str, str]]) -> Column
     return reduce(
         lambda text, rule: F.regexp_replace(text, rule[0], rule[1]), rules, _column(label)
     )
-
-
-def wrap(label: Column | str, prefix: str = "", suffix: str = "") -> Column:
-    """``prefix + label + suffix``; null for a null label."""
-    return F.concat(F.lit(prefix), _column(label), F.lit(suffix))

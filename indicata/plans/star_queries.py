@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from indicata.operators import reshape as R
 from indicata.plans import jobs
 from indicata.session import checkpointed
 from indicata.sources import star_views as S
+from indicata.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +119,32 @@ def gdp_totals_from_summary(spark: SparkSession, folder: str) -> DataFrame:
     return _snake(jobs.gdp_output(summary))
 
 
+def _stored_at(spark: SparkSession, name: str) -> str:
+    """A new folder that every executor can reach: in the one for checkpoints, else in the warehouse."""
+    context = spark.sparkContext
+    shared = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared or spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+
+
+def gdp_totals_from_store(spark: SparkSession, folder: str) -> DataFrame:
+    """From the cleansed table, stored with a folder per year."""
+    path = _stored_at(spark, "store")
+    rows = jobs.cleansed(S.gdp(spark, folder), month_dates=True).drop(filters.STORED_DATE)
+    rows = rows.withColumn(filters.YEAR_PARTITION, F.year("REF_DATE"))
+    tables.write_published(rows, path, partition_by=filters.YEAR_PARTITION, rebalanced=True)
+    return _snake(jobs.gdp_output(spark.read.parquet(path)))
+
+
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices written as sorted CSV files with a header and a schema beside them, and read by these."""
+    path = _stored_at(spark, "csv")
+    rows = S.cpi(spark, folder).drop(filters.STORED_DATE)
+    tables.write_published(rows, path, fmt="csv", sort_by=["REF_DATE", "GEO"], files=4, sidecar=f"{path}.json")
+    read = tables.read_csv(spark, path, tables.load_schema(spark, f"{path}.json"))
+    keys = ["REF_DATE", "GEO", "Products and product groups"]
+    return _snake(read.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum("VALUE").alias("total")))
+
+
 def gdp_totals_one_price_basis(spark: SparkSession, folder: str) -> DataFrame:
     where = {**jobs.ANNUAL_RATES, "Prices": "2012 constant prices"}
     return _snake(jobs.gdp_output(S.gdp(spark, folder), where))
@@ -384,6 +412,8 @@ QUERIES: dict[str, Query] = {
         gdp_totals_threshold,
         gdp_totals_from_dates,
         gdp_totals_from_summary,
+        gdp_totals_from_store,
+        csv_round_trip,
         gdp_totals_one_price_basis,
         trade_totals_threshold,
         tsx_totals_threshold,
