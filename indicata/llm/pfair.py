@@ -6,9 +6,10 @@ block with the earliest deadline, which meets every deadline on one stream, so a
 blocks taken from a source differs from w times the slots by less than one.
 
 Weights are taken as the exact ratios that their floats are, so nothing is rounded and no error adds up. The
-schedule does not repeat. The driver runs through it once, a step for each block, and keeps only how many
-blocks each source has given at the start of each piece; tasks run through the pieces again to list their
-blocks. When a source runs out, a new phase begins in which the others share its weight in proportion; no row
+schedule does not repeat. The driver runs through it once, a step for each block, and notes how many blocks
+each source has given at the start of each piece, a number for every ``SLOTS_PER_SOURCE`` blocks or so. It holds
+``HELD_NUMBERS`` of these at most and writes them to the shared folder as it goes; tasks run through the pieces again
+to list their blocks. Larger blocks (``block_rows``) make the schedule of a large corpus as short as is wanted. When a source runs out, a new phase begins in which the others share its weight in proportion; no row
 is dropped or repeated, and there are at most as many phases as sources. Weights and windows hold within a
 phase.
 
@@ -21,6 +22,7 @@ out; a source without a given weight is refused. A deadline beyond a long is giv
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
 from itertools import count
@@ -28,7 +30,7 @@ from math import gcd, lcm
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indicata.llm import common as C
@@ -36,8 +38,10 @@ from indicata.llm import common as C
 BLOCK_ROWS = 64
 PERIOD = 1000
 SEED = 77
-#: The driver holds one number per source and piece of the schedule.
+#: So many sources at most, as the driver steps through a queue of them and each piece has a number for each.
 MAX_SOURCES = 1000
+#: Numbers of pieces that the driver holds, and blocks that a task lists.
+HELD_NUMBERS, BLOCKS_IN_TASK = 1 << 18, 1 << 16
 #: A piece has at least this many slots per source, so that pieces stay small beside the blocks.
 SLOTS_PER_SOURCE = 64
 LAST = (1 << 63) - 1
@@ -116,10 +120,34 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int
     return [(k, about[s, k][0], len(x), *about[s, k][1:], s, x) for (s, k), x in sorted(slots.items())]
 
 
+PHASE = "start long, names array<string>, share array<string>, first array<long>"
+PIECE = "start long, begin long, end long, before array<long>"
+
+
+def _planned(spark: SparkSession, table: Iterator[tuple], blocks: int) -> DataFrame:
+    """The pieces of ``pieces()`` with what their phases have in common."""
+    folder, rows, held = f"{C.shared_folder(spark)}/pfair-{uuid.uuid4().hex}", [], 0
+    phases, written = {}, False
+    for start, begin, end, share, first, before in table:
+        if start not in phases:
+            phases[start] = (start, list(share), [str(x) for x in share.values()], list(first.values()))
+        rows.append((start, begin, end, list(before.values())))
+        held += len(before)
+        if held >= HELD_NUMBERS:
+            spark.createDataFrame(rows, PIECE).coalesce(1).write.mode("append").parquet(folder)
+            rows, held, written = [], 0, True
+    plan = spark.createDataFrame(rows, PIECE)
+    if written:
+        plan = plan.unionByName(spark.read.schema(PIECE).parquet(folder))
+    plan = plan.repartition(-(-blocks // BLOCKS_IN_TASK) or 1)
+    # at most MAX_SOURCES phases of as many sources
+    return plan.join(F.broadcast(spark.createDataFrame(list(phases.values()), PHASE)), "start")
+
+
 def _schedule(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The blocks of pieces."""
     for batch in batches:
-        for start, begin, end, names, share, first, before in batch.itertuples(index=False):
+        for start, begin, end, before, names, share, first in batch.itertuples(index=False):
             state = [dict(zip(names, map(int, x))) for x in (share, first, before)]
             found = list(listed(start, begin, end, *state))
             yield pd.DataFrame(found, columns=["source", "block", "slot", "release", "deadline"])
@@ -162,14 +190,8 @@ def mix(
         if missing := [k for k in counts if not given.get(k, 0) > 0]:
             raise ValueError(f"no positive weight for {len(missing)} sources")
         weigh = {k: given[k] for k in counts}
-    table = pieces({k: -(-n // block_rows) for k, n in counts.items()}, weigh, period)
-    plan = spark.createDataFrame(
-        [
-            (start, begin, end, list(share), [str(x) for x in share.values()], list(first.values()), list(before.values()))
-            for start, begin, end, share, first, before in table
-        ],
-        "start long, begin long, end long, names array<string>, share array<string>, first array<long>, before array<long>",
-    )
+    parts = {k: -(-n // block_rows) for k, n in counts.items()}
+    plan = _planned(spark, pieces(parts, weigh, period), sum(parts.values()))
     blocks = plan.mapInPandas(_schedule, "source string, block long, slot long, release long, deadline long")
     bits = C.buckets_for(sum(counts.values())).bit_length() - 1
     rows = rows.withColumn("bucket", F.shiftrightunsigned("hash", 64 - bits))

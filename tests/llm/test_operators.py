@@ -43,6 +43,16 @@ def test_shards_match_counts_and_mixture(spark):
             assert abs(n - sizes[source] / 40) <= 2
 
 
+def test_a_schedule_written_in_parts_is_the_same(spark, monkeypatch):
+    df = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.floor(F.sqrt("id") / 30)).alias("source"))
+    whole = {r.doc_id: tuple(r) for r in pfair.mix(df, block_rows=4, period=50).collect()}
+    monkeypatch.setattr(pfair, "HELD_NUMBERS", 40)
+    monkeypatch.setattr(pfair, "BLOCKS_IN_TASK", 500)
+    parts = pfair.mix(df, block_rows=4, period=50)
+    assert {r.doc_id: tuple(r) for r in parts.collect()} == whole
+    assert len(whole) == 30_000
+
+
 def packs_of(spark, rows, pack_chars):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, key string, turns int")
     conf = "spark.sql.shuffle.partitions"
