@@ -55,6 +55,9 @@ LOOKED = 64
 #: Candidates that a prefix may bring in before it is lengthened, where tenfold asks for one more match, and the
 #: most that a shingle may bring in by which it is lengthened: a dearer one costs more rows than it saves.
 EXPECTED = 100
+#: A token is hot that so many documents have, and one in ``HOT_PART`` of all, judged by every ``HOT_SAMPLE``-th one;
+#: its rows are dealt to ``SALTS`` tasks.
+HOT_DOCS, HOT_PART, HOT_SAMPLE, SALTS = 4096, 1000, 64, 64
 
 
 def base_length(n: int | np.ndarray, percent: int = PERCENT):
@@ -142,10 +145,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(similar).select("a", "b").distinct()
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Rows whose ``token`` others have too, with ``cost``, their number; one shuffle."""
-    held = F.count(F.lit(1)).over(Window.partitionBy("token")).cast("int")
-    return rows.withColumn("cost", held).where("cost > 1")
+def _hot(some: DataFrame, docs: int) -> DataFrame:
+    """Tokens that very many documents have, and ``about`` how many, from the rows of every ``HOT_SAMPLE``-th document.
+
+    There are at most ``HOT_PART`` times as many as a document has tokens, so the table can be broadcast.
+    """
+    least = max(HOT_DOCS, docs // HOT_PART) // HOT_SAMPLE
+    counted = some.groupBy("token").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") >= least)
+    return C.cut(counted.select("token", (F.col("seen") * HOT_SAMPLE).cast("int").alias("about")))
+
+
+def _sampled(doc: str) -> Column:
+    return F.pmod(F.xxhash64(doc), F.lit(HOT_SAMPLE)) == 0
+
+
+def _shared(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows whose ``token`` others have too, with ``cost``, their number; one shuffle.
+
+    Rows of hot tokens, which others do have, go to several tasks, and their cost is the estimate: it orders tokens
+    and weighs prefixes, and needs only to be the same for all documents.
+    """
+    marked = rows.join(F.broadcast(hot), "token", "left")
+    dealt = F.when(F.col("about").isNotNull(), F.pmod(F.xxhash64("doc"), F.lit(SALTS))).otherwise(0)
+    held = F.count(F.lit(1)).over(Window.partitionBy("token", "dealt")).cast("int")
+    counted = marked.withColumn("dealt", dealt).withColumn("cost", F.coalesce("about", held))
+    return counted.where("cost > 1").drop("about", "dealt")
 
 
 def _lively(docs: DataFrame, known: DataFrame, representatives: DataFrame, percent: int) -> DataFrame:
@@ -155,8 +179,13 @@ def _lively(docs: DataFrame, known: DataFrame, representatives: DataFrame, perce
     has no more shared shingles than it may leave out has no candidates.
     """
     some = possible(docs.where("doc_id IS NOT NULL"), "doc_id", representatives, "doc")
-    spread = some.select("doc_id", "text").mapInArrow(_prefixes(percent), SPREAD)
-    shared = _shared(spread.select("doc", F.explode("prefix").alias("token")))
+
+    def spread(docs: DataFrame) -> DataFrame:
+        prefixes = docs.select("doc_id", "text").mapInArrow(_prefixes(percent), SPREAD)
+        return prefixes.select("doc", F.explode("prefix").alias("token"))
+
+    hot = _hot(spread(some.where(_sampled("doc_id"))), representatives.count())
+    shared = _shared(spread(some), hot)
     common = shared.groupBy("doc").agg(F.count(F.lit(1)).alias("common"))
     sizes = known.join(representatives, F.col("doc_id") == F.col("doc")).groupBy("doc").agg(F.min("n").alias("n"))
     # rows that share an id are one node, whose smallest size leaves out least
@@ -171,7 +200,8 @@ def _lengthened(sets: DataFrame, percent: int) -> DataFrame:
     ``asked`` is shared with any partner, and ``extra`` more of the first ``asked + extra``.
     """
     size = F.size("shingles").alias("n")
-    shared = _shared(sets.select("doc", size, F.explode("shingles").alias("token")))
+    rows = sets.select("doc", size, F.explode("shingles").alias("token"))
+    shared = _shared(rows, _hot(rows.where(_sampled("doc")), sets.count()))
     by_cost = F.sort_array(F.collect_list(F.struct("cost", "token"))).alias("by_cost")
     common = shared.groupBy("doc", "n").agg(by_cost)
     least = F.ceil(F.col("n") * percent / 100).cast("int")
