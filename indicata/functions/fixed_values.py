@@ -203,3 +203,58 @@ ALPHAS = (0.0001, 0.001, 0.01, 0.1, 0.3, 0.5, 0.7, 1.0)
 L1_RATIO = 0.5
 FOLDS = 5
 TRAIN_SHARE = 0.8
+
+# --- Fixed values: members that the jobs select -------------------------------------------------
+
+NATIONAL = "Canada"
+ADJUSTED = "Seasonally adjusted"
+ADJUSTED_ANNUAL = "Seasonally adjusted at annual rates"
+ADJUSTED_QUARTERLY = "Seasonally adjusted at quarterly rates"
+ADJUSTED_TRADING_DAY = "Trading-day adjusted"
+CUSTOMS_BASIS = "Customs"
+PAYMENTS_BASIS = "Balance of payments"
+HOURS_STATISTIC = "Estimate"
+ALL_ITEMS = "All-items"
+MEDICINAL_PRODUCTS = "Medicinal and pharmaceutical products"
+HEALTH_GROUP = "health"
+CARE_INDUSTRY = "care"
+RETAIL_INDUSTRY = "Retail trade"
+TSX_UNIT = "Index"
+SMOOTHED = "Smoothed"
+HOUSEHOLD_CONSUMPTION = "Household final consumption expenditure"
+CURRENT_PRICES = "Current prices"
+CARE_WORKER = "Health care worker"
+INTERNATIONAL_TRAVEL = "%International%travel%"
+PANDEMIC_YEARS = (2019, 2020)
+
+# --- Fixed values: columns of the inputs and results --------------------------------------------
+
+PRODUCT_GROUP = "Products and product groups"
+TSX_STATISTIC = "Toronto Stock Exchange Statistics"
+TOTAL_GDP = "Total GDP Value"
+TOTAL_TRADE = "Total Merch Trade Value"
+MEAN_GDP = "Avg GDP Value"
+MEAN_TRADE = "Avg Merch Trade Value"
+TOTAL_STOCK = "Total Stock Value"
+TOTAL_TSX_60 = "Total TSX 60 Value"
+YEARLY_TSX = "Avg Yearly TSX Stock"
+STOCK_MEANS = {"Avg Stock Traded": "Volume", "Avg Highest Stock": "High", "Avg Lowest Stock": "Low"}
+TOTAL_RETAIL = "TotalRetailTradePrice"
+BUSINESS_PROFIT = "Business Profit Factor"
+RETAIL_GDP = "RETAIL_GDP*(10^3)"
+RETAIL_SALES = "RETAIL_TRADE_SALES *(10^6)"
+HOUSEHOLD_SPENDING = "household_expenditure*(10^6)"
+HEALTH_GDP_NAME = ("GDP of ", " x10^6 (in CAD)")
+HEALTH_CPI_NAME = ("CPI of ", "")
+HEALTH_SALES = "Retail Trade sales for - Health and personal care stores x10^3 (in CAD)"
+HEALTH_TRADE_NAMES = {
+    "Import": "Int. Merchandise Trade for Pharma&Medical products -Imports x10^6 (in CAD)",
+    "Export": "Int. Merchandise Trade for Pharma&Medical products -Exports x10^6 (in CAD)",
+}
+NEW_CASES_WEEKLY = "Total New cases"
+NEW_CASES_MONTHLY = "New cases"
+RECOVERED_CASES = "Recovered cases"
+DEATHS = "Deaths"
+INTERNATIONAL_CASES = "International Transmissions"
+ASYMPTOMATIC_CASES = "Asymptomatic cases"
+CARE_WORKERS_AFFECTED = "Healthcare workers affected"

@@ -17,7 +17,7 @@ from indicata.operators import combine as C
 from indicata.operators import filters
 from indicata.operators import reshape as R
 
-ANNUAL_RATES = {"Seasonal adjustment": "Seasonally adjusted at annual rates"}
+ANNUAL_RATES = {"Seasonal adjustment": V.ADJUSTED_ANNUAL}
 _PRESENT = ["REF_DATE", "GEO", "VALUE"]
 
 
@@ -87,13 +87,13 @@ def provincial_cases(cases: DataFrame, fill_keys: bool = True) -> DataFrame:
         period="Episode week",
         recovery_period="Recovery week",
         by=("Region",),
-        total_name="Total New cases",
-        recovered_name="Recovered cases",
+        total_name=V.NEW_CASES_WEEKLY,
+        recovered_name=V.RECOVERED_CASES,
         flags={
-            "Deaths": F.col("Death"),
+            V.DEATHS: F.col("Death"),
             **_equals("Age_group", ages),
-            "International Transmissions": F.col("Transmission").like("%International%travel%"),
-            "Asymptomatic cases": F.col("Asymptomatic"),
+            V.INTERNATIONAL_CASES: F.col("Transmission").like(V.INTERNATIONAL_TRAVEL),
+            V.ASYMPTOMATIC_CASES: F.col("Asymptomatic"),
         },
         recovered=F.col("Recovered"),
     )
@@ -110,17 +110,17 @@ def case_trend(cases: DataFrame) -> DataFrame:
         period="Episode month",
         recovery_period="Recovery month",
         by=(),
-        total_name="New cases",
-        recovered_name="Recovered cases",
+        total_name=V.NEW_CASES_MONTHLY,
+        recovered_name=V.RECOVERED_CASES,
         flags={
-            "Deaths": F.col("Death"),
+            V.DEATHS: F.col("Death"),
             **_equals("Hospital status", statuses),
-            "Healthcare workers affected": F.col("Occupation") == "Health care worker",
+            V.CARE_WORKERS_AFFECTED: F.col("Occupation") == V.CARE_WORKER,
         },
         recovered=F.col("Recovered"),
     )
     known = counted.where(F.col("period").isNotNull()).withColumnRenamed("period", "Month")
-    return A.nulls_for_zero(known, [c for c in known.columns if c not in ("Month", "New cases")])
+    return A.nulls_for_zero(known, [c for c in known.columns if c not in ("Month", V.NEW_CASES_MONTHLY)])
 
 
 # --- output and trade --------------------------------------------------------------------------
@@ -135,7 +135,7 @@ def gdp_output(
     return A.indicator_totals(
         gdp,
         by={"NAICS": V.NAICS},
-        total_name="Total GDP Value",
+        total_name=V.TOTAL_GDP,
         where=where,
         window=window,
         excluded={V.NAICS: V.CANNABIS_INDUSTRIES},
@@ -148,8 +148,8 @@ def trade_output(trade: DataFrame, window: tuple[str, str] = V.DECADE) -> DataFr
     return A.indicator_totals(
         trade,
         by={"NAPCS": V.NAPCS, "Trade": "Trade", "Basis": "Basis"},
-        total_name="Total Merch Trade Value",
-        where={"Seasonal adjustment": "Seasonally adjusted"},
+        total_name=V.TOTAL_TRADE,
+        where={"Seasonal adjustment": V.ADJUSTED},
         window=window,
         above=100,
         month_name="YEAR",
@@ -161,11 +161,11 @@ def gdp_trade_output(gdp_totals: DataFrame, trade_totals: DataFrame) -> DataFram
     return C.joint_monthly_means(
         gdp_totals,
         trade_totals,
-        "Total GDP Value",
-        "Total Merch Trade Value",
-        "Avg GDP Value",
-        "Avg Merch Trade Value",
-        right_where={"Basis": "Customs"},
+        V.TOTAL_GDP,
+        V.TOTAL_TRADE,
+        V.MEAN_GDP,
+        V.MEAN_TRADE,
+        right_where={"Basis": V.CUSTOMS_BASIS},
     )
 
 
@@ -177,9 +177,9 @@ def retail_by_province(retail: DataFrame, values: Sequence[str] | None = None) -
     return R.pivot_indicator(
         retail,
         "GEO",
-        where=(F.col("Adjustments") == "Seasonally adjusted")
+        where=(F.col("Adjustments") == V.ADJUSTED)
         & ~F.col("GEO").contains(",")
-        & (F.col("GEO") != "Canada"),
+        & (F.col("GEO") != V.NATIONAL),
         window=V.DECADE,
         required=_PRESENT,
         values=values,
@@ -196,7 +196,7 @@ def retail_by_industry(
     return R.pivot_indicator(
         retail,
         V.NAICS,
-        where={"Adjustments": "Seasonally adjusted", "GEO": "Canada"},
+        where={"Adjustments": V.ADJUSTED, "GEO": V.NATIONAL},
         window=window,
         required=_PRESENT,
         values=values,
@@ -208,7 +208,7 @@ def stock_output(stock: DataFrame, window: tuple[str, str] | None = V.DECADE) ->
     """Mean monthly volume, high and low."""
     return A.monthly_means(
         stock,
-        {"Avg Stock Traded": "Volume", "Avg Highest Stock": "High", "Avg Lowest Stock": "Low"},
+        V.STOCK_MEANS,
         window,
     )
 
@@ -226,7 +226,7 @@ def retail_stock_output(
     """
     industries = [c for c in by_industry.columns if c != "REF_DATE" and c not in exclude]
     totals = by_industry.select(
-        "REF_DATE", numbers.row_total(industries, null_as_zero).alias("TotalRetailTradePrice")
+        "REF_DATE", numbers.row_total(industries, null_as_zero).alias(V.TOTAL_RETAIL)
     )
     return totals.join(stock, "REF_DATE", "inner")
 
@@ -241,7 +241,7 @@ def macro_output(macro: DataFrame, years: Sequence[str] = V.MACRO_KEPT_YEARS) ->
 
 def development_output(
     panel: DataFrame,
-    country: str = "Canada",
+    country: str = V.NATIONAL,
     years: Sequence[int] = V.DEVELOPMENT_YEARS,
     as_text: bool = True,
     values: Sequence[int] | None = None,
@@ -267,7 +267,7 @@ def cpi_output(cpi: DataFrame, values: Sequence[str] | None = None) -> DataFrame
         cpi,
         "GEO",
         by="year",
-        where=(F.col("Products and product groups") == "All-items") & ~F.col("GEO").contains(","),
+        where=(F.col(V.PRODUCT_GROUP) == V.ALL_ITEMS) & ~F.col("GEO").contains(","),
         window=V.DECADE,
         required=_PRESENT,
         digits=2,
@@ -297,7 +297,7 @@ def monthly_productivity(
         V.NAICS,
         rules,
         "GDP_VALUE",
-        where={"Seasonal adjustment": "Trading-day adjusted"},
+        where={"Seasonal adjustment": V.ADJUSTED_TRADING_DAY},
         window=V.DECADE,
         required=_PRESENT,
     )
@@ -306,7 +306,7 @@ def monthly_productivity(
         V.NAICS,
         V.HOURS_RELABEL,
         "HOURS_WORKED",
-        where={"Statistics": "Estimate"},
+        where={"Statistics": V.HOURS_STATISTIC},
         window=V.DECADE,
         required=_PRESENT,
     )
@@ -327,7 +327,7 @@ def labour_productivity_output(monthly: DataFrame, values: Sequence[str] | None
 
 # --- stock exchange and leading indicators ------------------------------------------------------
 
-STATISTIC = "Toronto Stock Exchange Statistics"
+STATISTIC = V.TSX_STATISTIC
 
 
 def tsx_totals(tsx: DataFrame) -> DataFrame:
@@ -335,14 +335,14 @@ def tsx_totals(tsx: DataFrame) -> DataFrame:
     return A.indicator_totals(
         tsx,
         by={STATISTIC: STATISTIC},
-        total_name="Total Stock Value",
-        where=(F.col("UOM") == "Index") & (F.col("VALUE") > 0),
+        total_name=V.TOTAL_STOCK,
+        where=(F.col("UOM") == V.TSX_UNIT) & (F.col("VALUE") > 0),
     )
 
 
 def tsx_output(totals: DataFrame) -> DataFrame:
     """The totals over 100."""
-    return totals.where(F.col("Total Stock Value") > 100)
+    return totals.where(F.col(V.TOTAL_STOCK) > 100)
 
 
 def tsx60_output(totals: DataFrame) -> DataFrame:
@@ -351,14 +351,14 @@ def tsx60_output(totals: DataFrame) -> DataFrame:
         totals,
         STATISTIC,
         V.TSX_60,
-        {"REF_DATE": "REF_DATE", "Total Stock Value": "Total TSX 60 Value"},
+        {"REF_DATE": "REF_DATE", V.TOTAL_STOCK: V.TOTAL_TSX_60},
     )
 
 
 def tsx_yearly(output: DataFrame) -> DataFrame:
     """Yearly mean of the monthly totals."""
     return output.groupBy(F.year("REF_DATE").alias("REF_DATE")).agg(
-        F.avg("Total Stock Value").alias("Avg Yearly TSX Stock")
+        F.avg(V.TOTAL_STOCK).alias(V.YEARLY_TSX)
     )
 
 
@@ -367,8 +367,8 @@ def leading_indicator_output(leading: DataFrame) -> DataFrame:
     return A.indicator_totals(
         leading,
         by={"Leading Indicators": "Leading indicators"},
-        total_name="Business Profit Factor",
-        where=(F.col("VALUE") > 0) & (F.col("Composite index") == "Smoothed"),
+        total_name=V.BUSINESS_PROFIT,
+        where=(F.col("VALUE") > 0) & (F.col("Composite index") == V.SMOOTHED),
         window=V.BASE_YEAR_MONTHS,
         month_name="YEAR",
     )
@@ -384,18 +384,18 @@ def retail_trade_output(
     industry = F.col(f"`{V.NAICS}`")
     output = A.yearly_means(
         filters.keep(gdp, gdp_where),
-        "RETAIL_GDP*(10^3)",
+        V.RETAIL_GDP,
         value=numbers.truncated("VALUE"),
-        where=filters.matching(ANNUAL_RATES) & industry.contains("Retail trade") & ~industry.contains("("),
+        where=filters.matching(ANNUAL_RATES) & industry.contains(V.RETAIL_INDUSTRY) & ~industry.contains("("),
         window=V.DECADE,
         required=_PRESENT,
         digits=2,
     )
     sales = A.yearly_means(
         retail,
-        "RETAIL_TRADE_SALES *(10^6)",
+        V.RETAIL_SALES,
         value=numbers.truncated("VALUE"),
-        where={"GEO": "Canada", V.NAICS: V.RETAIL_TRADE, "Adjustments": "Seasonally adjusted"},
+        where={"GEO": V.NATIONAL, V.NAICS: V.RETAIL_TRADE, "Adjustments": V.ADJUSTED},
         window=V.DECADE,
         required=_PRESENT,
     )
@@ -408,51 +408,44 @@ def retail_trade_output(
 def health_gdp(gdp_totals: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
     """Monthly GDP with a column per care industry."""
     care = gdp_totals.where(
-        F.year("REF_DATE").isin(2019, 2020) & F.col("NAICS").contains("care")
+        F.year("REF_DATE").isin(*V.PANDEMIC_YEARS) & F.col("NAICS").contains(V.CARE_INDUSTRY)
     )
     return R.label_pivot(
-        care, "REF_DATE", "NAICS", "Total GDP Value", "GDP of ", " x10^6 (in CAD)", values
+        care, "REF_DATE", "NAICS", V.TOTAL_GDP, *V.HEALTH_GDP_NAME, values
     )
 
 
 def health_cpi(cpi: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
     """Monthly national prices with a column per health product group."""
-    group = F.col("Products and product groups")
+    group = F.col(V.PRODUCT_GROUP)
     rows = filters.within_months(
         cpi.where(
-            (F.col("GEO") == "Canada")
-            & (group.contains("health") | (group == "Medicinal and pharmaceutical products"))
+            (F.col("GEO") == V.NATIONAL)
+            & (group.contains(V.HEALTH_GROUP) | (group == V.MEDICINAL_PRODUCTS))
         ),
         V.PANDEMIC_MONTHS,
     )
     return R.label_pivot(
-        rows, "REF_DATE", "Products and product groups", "VALUE", "CPI of ", "", values, month=True
+        rows, "REF_DATE", V.PRODUCT_GROUP, "VALUE", *V.HEALTH_CPI_NAME, values, month=True
     )
 
 
 def health_retail(by_industry: DataFrame) -> DataFrame:
     """Monthly sales of health stores."""
-    return by_industry.where(F.year("REF_DATE").isin(2019, 2020)).select(
-        "REF_DATE",
-        F.col(f"`{V.HEALTH_STORES}`").alias(
-            "Retail Trade sales for - Health and personal care stores x10^3 (in CAD)"
-        ),
-    )
+    recent = by_industry.where(F.year("REF_DATE").isin(*V.PANDEMIC_YEARS))
+    return recent.select("REF_DATE", F.col(f"`{V.HEALTH_STORES}`").alias(V.HEALTH_SALES))
 
 
 def health_trade(trade_totals: DataFrame) -> DataFrame:
     """Monthly pharmaceutical imports and exports, for months with both."""
     rows = trade_totals.where(
-        F.year("YEAR").isin(2019, 2020)
-        & (F.col("Basis") == "Balance of payments")
+        F.year("YEAR").isin(*V.PANDEMIC_YEARS)
+        & (F.col("Basis") == V.PAYMENTS_BASIS)
         & (F.col("NAPCS") == V.PHARMA_PRODUCTS)
     )
-    names = {
-        direction: f"Int. Merchandise Trade for Pharma&Medical products -{direction}s x10^6 (in CAD)"
-        for direction in ("Import", "Export")
-    }
+    names = V.HEALTH_TRADE_NAMES
     sides = [
-        F.max(F.when(F.col("Trade") == direction, F.col("Total Merch Trade Value"))).alias(name)
+        F.max(F.when(F.col("Trade") == direction, F.col(V.TOTAL_TRADE))).alias(name)
         for direction, name in names.items()
     ]
     months = rows.groupBy(F.col("YEAR").alias("REF_DATE")).agg(*sides)
@@ -489,12 +482,12 @@ def household_consumption_output(spending: DataFrame) -> DataFrame:
     """Mean yearly household spending at current prices."""
     return A.yearly_means(
         spending,
-        "household_expenditure*(10^6)",
+        V.HOUSEHOLD_SPENDING,
         value=numbers.truncated("VALUE"),
         where={
-            "Seasonal adjustment": "Seasonally adjusted at quarterly rates",
-            "Estimates": "Household final consumption expenditure",
-            "Prices": "Current prices",
+            "Seasonal adjustment": V.ADJUSTED_QUARTERLY,
+            "Estimates": V.HOUSEHOLD_CONSUMPTION,
+            "Prices": V.CURRENT_PRICES,
         },
         window=V.DECADE,
         required=["REF_DATE", "GEO", "Estimates", "VALUE"],
