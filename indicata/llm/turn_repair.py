@@ -74,103 +74,150 @@ class Edit:
         self.held = 0
 
 
+#: A survivor of a search step: its cost, the state whose survivor it goes on from, and its edits since, as (kind, role).
+Way = tuple[int, int, tuple[tuple[str, str | None], ...]]
+
+
+class Survivors:
+    """What decides between survivors: the cost of each state above the least, and in which edits two first differ.
+
+    There are few such situations, so what a row does to one is worked out once: ``after`` has, by fault and initial,
+    the situation after the row, its edits as (edit before, kind, role), and the last edit of each state. An edit
+    before is the number of one of these, or ``~state`` for the last one of a state until then.
+    """
+
+    def __init__(self, costs: dict[int, int], apart: dict[tuple[int, int], tuple[str, str]]):
+        self.costs, self.apart = costs, apart
+        self.after: dict[tuple[int, str], tuple[Survivors, list, list]] = {}
+
+    def _differ(self, x: Way, y: Way) -> tuple[str, str]:
+        """The edits in which two ways first differ; empty where one has no more."""
+        mine, theirs = [kind for kind, _ in x[2]], [kind for kind, _ in y[2]]
+        if x[1] != y[1]:
+            before = self.apart[x[1], y[1]]
+            return before[0] or "".join(mine[:1]), before[1] or "".join(theirs[:1])
+        same = 0
+        while same < min(len(mine), len(theirs)) and mine[same] == theirs[same]:
+            same += 1
+        return "".join(mine[same : same + 1]), "".join(theirs[same : same + 1])
+
+    def _better(self, x: Way, y: Way | None) -> bool:
+        if y is None or x[0] != y[0]:
+            return y is None or x[0] < y[0]
+        mine, theirs = self._differ(x, y)
+        return mine < theirs
+
+    def step(self, fault: int | None, initial: str) -> tuple[Survivors, list, list]:
+        """What a row does; no row (None) before the first one."""
+        best: dict[int, Way] = {}
+
+        def offer(state: int, way: Way) -> None:
+            if self._better(way, best.get(state)):
+                best[state] = way
+
+        more = CHANGE_COST if fault == TRUNCATED else 0
+        for state, cost in self.costs.items():
+            if fault is None:
+                offer(state, (cost, state, ()))
+                continue
+            offer(state, (cost + DELETE_COST, state, ((DELETE, None),)))
+            if fault in (BLANK, DUPLICATE):
+                continue
+            for role, name in NAMES.items():
+                if state in NEXT[role]:
+                    offer(NEXT[role][state], (cost + CHANGE_COST + more, state, ((REROLE, name),)))
+            if state in NEXT.get(initial, ()):
+                offer(NEXT[initial][state], (cost + more, state, ((KEEP, None),)))
+        for role, name in NAMES.items():
+            for state, target in NEXT[role].items():
+                if state in best:
+                    cost, before, edits = best[state]
+                    offer(target, (cost + CHANGE_COST, before, (*edits, (INSERT, name))))
+        for (other, state), most in INSTEAD.items():
+            if state in best and other in best and best[other][0] + most < best[state][0]:
+                del best[state]
+        least = min(cost for cost, _, _ in best.values())
+        apart = {(s, t): self._differ(x, y) for s, x in best.items() for t, y in best.items() if s != t}
+        made: dict[tuple, int] = {}
+        edits = []
+        for _, before, kinds in best.values():
+            for k in range(1, len(kinds) + 1):
+                if (before, kinds[:k]) not in made:
+                    made[before, kinds[:k]] = len(edits)
+                    edits.append((made[before, kinds[: k - 1]] if k > 1 else ~before, *kinds[k - 1]))
+        lasts = [(state, made[before, kinds] if kinds else ~before) for state, (_, before, kinds) in best.items()]
+        return Survivors({s: cost - least for s, (cost, _, _) in best.items()}, apart), edits, lasts
+
+    def key(self) -> tuple:
+        return tuple(sorted(self.costs.items())), tuple(sorted(self.apart.items()))
+
+
+class Situations:
+    """All situations met so far."""
+
+    def __init__(self) -> None:
+        self.known: dict[tuple, Survivors] = {}
+        self.first = self._same(Survivors({START: 0}, {}))
+
+    def _same(self, found: Survivors) -> Survivors:
+        return self.known.setdefault(found.key(), found)
+
+    def after(self, before: Survivors, fault: int | None, initial: str) -> tuple[Survivors, list, list]:
+        found = before.after.get((fault, initial))
+        if found is None:
+            after, *rest = before.step(fault, initial)
+            found = before.after[fault, initial] = (self._same(after), *rest)
+        return found
+
+
 class Repair:
     """The search over one conversation; ``emit`` gets each edit as soon as it is certain."""
 
-    def __init__(self, emit: Callable[[Edit], None]):
+    def __init__(self, emit: Callable[[Edit], None], situations: Situations | None = None):
         self.emit = emit
+        self.situations = situations or Situations()
         self.root = Edit(None, "", None, None)
         self.root.held = 1
-        #: Cost and last edit of the survivor of each state.
-        self.best: dict[int, tuple[int, Edit]] = {START: (0, self.root)}
-        #: The edits in which the survivors of two states first differ; empty where one has no more.
-        self.apart: dict[tuple[int, int], tuple[str, str]] = {}
-        self._insert()
-
-    def _reads_less(self, state: int, kind: str, other: int, other_kind: str) -> bool:
-        """Whether the first survivor and then ``kind`` reads less than the other one."""
-        mine, theirs = ("", "") if state == other else self.apart[state, other]
-        return (mine or kind) < (theirs or other_kind)
-
-    def _release(self, edit: Edit) -> None:
-        while not edit.held and not edit.below and edit.above is not None:
-            above = edit.above
-            above.below.remove(edit)
-            edit.above, edit = None, above
-
-    def _step(self, steps: list[tuple[int, int, int, str, str | None, tuple | None]], kept: bool) -> None:
-        """Survivors after one more edit each: (state, cost, state before, kind, role, row); with ``kept``, or as they are."""
-        won: dict[int, tuple] = {s: (c, s, "", None, None) for s, (c, _) in self.best.items()} if kept else {}
-        for state, cost, before, kind, role, row in steps:
-            now = won.get(state)
-            if now is None or cost < now[0] or cost == now[0] and self._reads_less(before, kind, now[1], now[2]):
-                won[state] = (cost, before, kind, role, row)
-        survivors, apart = {}, {}
-        for state, (cost, before, kind, role, row) in won.items():
-            edit = above = self.best[before][1]
-            if kind:
-                edit = Edit(above, kind, role, row)
-                above.below.append(edit)
+        #: The last edit of the survivor of each state, and what decides between them.
+        self.last: dict[int, Edit] = {START: self.root}
+        self.now = self.situations.first
+        self._go(None, "", None, None)
+
+    def _go(self, fault: int | None, initial: str, role: str | None, row: tuple | None) -> None:
+        before = self.last
+        self.now, edits, lasts = self.situations.after(self.now, fault, initial)
+        made = []
+        for above, kind, name in edits:
+            above = made[above] if above >= 0 else before[~above]
+            edit = Edit(above, kind, role if kind == KEEP else name, None if kind == INSERT else row)
+            above.below.append(edit)
+            made.append(edit)
+        self.last = {state: made[at] if at >= 0 else before[~at] for state, at in lasts}
+        for edit in self.last.values():
             edit.held += 1
-            survivors[state] = (cost, edit)
-            for other, (_, other_before, other_kind, *_) in won.items():
-                if other != state:
-                    mine, theirs = ("", "") if before == other_before else self.apart[before, other_before]
-                    apart[state, other] = (mine or kind, theirs or other_kind)
-        for _, edit in self.best.values():
+        for edit in before.values():
             edit.held -= 1
-        for _, edit in self.best.values():
-            self._release(edit)
-        self.best, self.apart = survivors, apart
-
-    def _insert(self) -> None:
-        for initial in "ua":
-            steps = []
-            for state, target in NEXT[initial].items():
-                if state in self.best:
-                    steps.append((target, self.best[state][0] + CHANGE_COST, state, INSERT, NAMES[initial], None))
-            self._step(steps, True)
-
-    def _give_up(self) -> None:
-        for (other, state), most in INSTEAD.items():
-            if state in self.best and other in self.best and self.best[other][0] + most < self.best[state][0]:
-                _, edit = self.best.pop(state)
-                edit.held -= 1
-                self._release(edit)
+        for edit in before.values():
+            while not edit.held and not edit.below and edit.above is not None:
+                above = edit.above
+                above.below.remove(edit)
+                edit.above, edit = None, above
 
-    def _settle(self) -> None:
+    def row(self, fault: int, role: str, row: tuple) -> None:
+        """Take in the next row."""
+        self._go(fault, role[:1] if role[:1] in NEXT else "", role, row)
         while not self.root.held and len(self.root.below) == 1:
             self.root = self.root.below[0]
             self.root.above = None
             self.emit(self.root)
 
-    def row(self, fault: int, role: str, row: tuple) -> None:
-        """Take in the next row."""
-        more = CHANGE_COST if fault == TRUNCATED else 0
-        steps = []
-        for state, (cost, _) in self.best.items():
-            steps.append((state, cost + DELETE_COST, state, DELETE, None, row))
-            if fault in (BLANK, DUPLICATE):
-                continue
-            for initial, name in NAMES.items():
-                if state in NEXT[initial]:
-                    steps.append((NEXT[initial][state], cost + CHANGE_COST + more, state, REROLE, name, row))
-            if state in NEXT.get(role[:1], ()):
-                steps.append((NEXT[role[0]][state], cost + more, state, KEEP, role, row))
-        self._step(steps, False)
-        self._insert()
-        self._give_up()
-        self._settle()
-
     def end(self) -> None:
         """Emit the rest of the best edits; nothing, or an assistant's turn, may come last."""
-        last = START if START in self.best else ASSISTANT
-        if last == START and ASSISTANT in self.best:
-            cost, other_cost = self.best[START][0], self.best[ASSISTANT][0]
-            if other_cost < cost or other_cost == cost and self._reads_less(ASSISTANT, "", START, ""):
-                last = ASSISTANT
-        last = self.best[last][1]
-        rest = []
+        ways = {s: (self.now.costs[s], s, ()) for s in (START, ASSISTANT) if s in self.last}
+        state = START if START in ways else ASSISTANT
+        if len(ways) == 2 and self.now._better(ways[ASSISTANT], ways[START]):
+            state = ASSISTANT
+        last, rest = self.last[state], []
         while last is not self.root:
             rest.append(last)
             last = last.above
@@ -199,7 +246,7 @@ def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
     kinds = [types[x.split()[1]] for x in EDITS.split(", ")]
     out: list[tuple] = []
-    conv, search = None, None
+    conv, search, situations = None, None, Situations()
 
     def emit(edit: Edit) -> None:
         turn, role, text, fault = edit.row or (None, None, "", NONE)
@@ -215,7 +262,7 @@ def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if key != conv:
                 if search is not None:
                     search.end()
-                conv, search = key, Repair(emit)
+                conv, search = key, Repair(emit, situations)
             search.row(fault, role, (turn, role, text, fault))
             if len(out) >= EDITS_OUT:
                 yield packed()
