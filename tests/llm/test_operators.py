@@ -285,3 +285,37 @@ def test_revisit_edges(spark):
     assert found[3].response_id == 1 and found[3].digest == "d1"
     assert [tuple(h) for h in found[3].headers] == [("Content-Type", "text/html"), ("Vary", "z"), ("etag", 'W/"a"')]
     assert warc_revisit.resolve(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_of_responses_at_one_time_the_largest_record_counts(spark):
+    schema = "record_id long, url string, time long, status int, digest string, headers array<struct<name:string,value:string>>, key int"
+    rows = [(r, "u", 10, 200, f"d{r}", [("ETag", f'"{r}"')], 0) for r in (5, 9, 2)] + [(None, "u", 10, 200, "none", [], 0)]
+    rows += [(20, "u", 10, 304, None, [("ETag", '"9"')], 0), (21, "u", 11, 304, None, [("ETag", '"9"')], 0)]
+    rows += [(22, "u", 11, 304, None, [("ETag", '"5"')], 0)]
+    found = {r.record_id: r for r in warc_revisit.resolve(spark.createDataFrame(rows, schema)).collect()}
+    assert found[20].outcome == "unmatched"  # not earlier
+    assert (found[21].outcome, found[21].response_id, found[21].digest) == ("resolved", 9, "d9")
+    assert found[22].outcome == "mismatch"
+
+
+def test_equally_long_rules_block_and_long_urls_are_read_whole(spark):
+    rules = [url_filter.Rule("allow", "b.net", "/x/"), url_filter.Rule("block", "net", "/x/yy"), url_filter.Rule("allow", "net", "/x/")]
+    assert len(rules[0].text) == len(rules[1].text)
+    tail = "a" * 300_000
+    urls = ["http://a.b.net/x/yy", "http://A.net/x/q", f"http://c.net/{tail}", f"http://c.net/{tail}/end", f"http://{tail}.net/x/1"]
+    table = spark.createDataFrame([(u, 1) for u in urls], "url string, rule int")
+    listed = spark.createDataFrame([(f"c.net/{tail}/end",)], "canonical string")
+    found = {r.url: r for r in url_filter.judge_urls(table, listed, rules=rules).collect()}
+    assert (found[urls[0]]._rule, found[urls[0]].verdict) == ("net/x/yy", "block")
+    assert [found[u].verdict for u in urls[1:]] == ["allow", "allow", "block", "allow"]
+    assert found[urls[4]].host == f"{tail}.net" and found[urls[1]].rule == 1
+
+
+def test_shards_of_long_texts_and_clashing_columns(spark):
+    rows = [(i, "s", "t" * (400_000 if i == 3 else i), 7, "x") for i in range(9)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string, shard int, fraction string")
+    placed = sharding.interleave(table, shards=4).collect()
+    assert sorted(r.doc_id for r in placed) == list(range(9))
+    assert {(r.shard, r.fraction) for r in placed} == {(7, "x")}
+    assert sorted(Counter(r._shard for r in placed).values()) == [2, 2, 2, 3]
+    assert max(len(r.text) for r in placed) == 400_000
