@@ -218,10 +218,11 @@ def judge(
 def keep_good(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows whose text is judged good, with their own columns only.
 
-    Texts are measured twice, once for the model and once for the verdict, so that no text is stored.
+    Texts are measured twice, once for the model and once for the verdict, so that no text is stored. The counts
+    for the model are, as the base's condition on them would otherwise have every text measured a third time.
     """
     (struct,) = C.fresh(df, "s")
-    model = fit(df.select(signals(F.col(text)).alias("s")))
+    model = fit(C.cut(df.select(signals(F.col(text)).alias("s"))))
     measured = df.withColumn(struct, signals(F.col(text)))
     votes = [vote(r, struct) for r in RULES]
     return measured.where(~base_failed(struct) & (model.probability(votes) >= F.lit(threshold))).select(*[f"`{c}`" for c in df.columns])
